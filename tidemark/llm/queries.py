@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import mixing, sharding
 from .common import table
 
 
@@ -10,5 +10,9 @@ def op4_hilbert_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_hilbert_shards": op4_hilbert_shards}
+def op5_golden_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_hilbert_shards": op4_hilbert_shards, "op5_golden_mix": op5_golden_mix}
 ORACLE_SQL: dict[str, str] = {}
