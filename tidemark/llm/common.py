@@ -81,3 +81,8 @@ def n_words(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with `value` worked out once, however often and however deep in lambdas `use` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding
 from .common import table
 
 
@@ -14,5 +14,22 @@ def op5_golden_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_hilbert_shards": op4_hilbert_shards, "op5_golden_mix": op5_golden_mix}
-ORACLE_SQL: dict[str, str] = {}
+def op10_winnowing(spark, sf_dir):
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op4_hilbert_shards, op5_golden_mix, op10_winnowing)}
+
+#: Every window of ten item words, held against every window of every document.
+OP10_SQL = r"""
+with item as (select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') w from benchmark),
+win as (select distinct item_id, len(w[i:i + 9]) m, array_to_string(w[i:i + 9], ' ') g from item, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) where len(w) > 0),
+doc as (select row_number() over () k, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') w from documents),
+own as (select k, i, m, array_to_string(w[i:i + m - 1], ' ') g from doc, (select distinct m from win) s, unnest(range(1, len(w) - m + 2)) t(i)),
+hit as (select k, item_id, i, own.m from own join win using (g)),
+n as (select k, count(distinct j) n_hit from hit, unnest(range(i, i + m)) t(j) group by k),
+it as (select k, count(*) n_items, sha256(string_agg(id, ',' order by id)) items_sha256 from (select distinct k, item_id::varchar id from hit) group by k)
+select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, coalesce(items_sha256, sha256('')) items_sha256, coalesce(n_hit, 0) > 0 contaminated from doc left join n using (k) left join it using (k)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_winnowing": OP10_SQL}
