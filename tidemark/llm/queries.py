@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, sharding
+from . import decontamination, fingerprints, mixing, sharding
 from .common import table
 
 
+def op3_merkle_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op4_hilbert_shards(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -18,7 +22,7 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_hilbert_shards, op5_golden_mix, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op10_winnowing)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
