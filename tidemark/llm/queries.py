@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, mixing, sharding
+from pyspark.sql import functions as F
+
+from . import decontamination, fingerprints, mixing, quality, sharding
 from .common import table
 
 
+def op1_fourier_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs.select("doc_id", "text"), model).select("doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_merkle_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -22,7 +30,7 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_fourier_quality, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op10_winnowing)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
