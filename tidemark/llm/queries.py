@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, jaccard, mixing, quality, sharding, substrings
+from . import decontamination, extraction, fingerprints, jaccard, mixing, quality, sharding, substrings
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_fourier_quality(spark, sf_dir):
     return quality.classify(docs.select("doc_id", "text"), model).select("doc_id", (quality.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_template_extraction(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_merkle_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fourier_quality, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op9_divide_skip, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op9_divide_skip, op10_winnowing)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
