@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, fingerprints, jaccard, mixing, quality, sharding, substrings
+from . import decontamination, extraction, fingerprints, jaccard, language_model, mixing, quality, sharding, substrings
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_relative_lempel_ziv(spark, sf_dir):
     return substrings.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_partial_matching(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op9_divide_skip(spark, sf_dir):
     return jaccard.link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -42,7 +46,7 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op9_divide_skip, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op8_partial_matching, op9_divide_skip, op10_winnowing)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
