@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, fingerprints, jaccard, language_model, mixing, quality, sharding, substrings
+from . import decontamination, extraction, fingerprints, jaccard, language_model, licenses, mixing, quality, sharding, substrings
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_relative_lempel_ziv(spark, sf_dir):
     return substrings.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_licence_digests(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_partial_matching(spark, sf_dir):
     return language_model.score(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op8_partial_matching, op9_divide_skip, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op7_licence_digests, op8_partial_matching, op9_divide_skip, op10_winnowing)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
@@ -60,4 +64,32 @@ it as (select k, count(*) n_items, sha256(string_agg(id, ',' order by id)) items
 select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, coalesce(items_sha256, sha256('')) items_sha256, coalesce(n_hit, 0) > 0 contaminated from doc left join n using (k) left join it using (k)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_winnowing": OP10_SQL}
+def op7_sql() -> str:
+    """Lines, blocks and whole texts against the digests of the known texts."""
+
+    def canonical(c: str) -> str:
+        c = f"lower(regexp_replace({c}, '{licenses.COPYRIGHT_LINE}', ' ', 'g'))"
+        c = f"' ' || regexp_replace({c}, '[\x00-\x2F\x3A-\x60\x7B-\xBF]+', ' ', 'g') || ' '"
+        for given, used in licenses.SPELLINGS.items():
+            c = f"replace({c}, ' {given} ', ' {used} ')"
+        return f"sha256(trim(regexp_replace({c}, ' +', ' ', 'g'), ' '))"
+
+    known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+    return f"""
+with raw(name, text) as (values {known}),
+listed as (select {canonical('text')} digest, min(name) name from raw group by 1),
+doc as (select row_number() over () k, doc_id, coalesce(text, '') text from documents),
+unit as (select distinct k, u from doc, unnest(list_concat(regexp_split_to_array(text, '\n[ \t\r]*\n'), string_split(text, chr(10)))) t(u) where u <> ''),
+met as (select distinct k, name from unit join listed on {canonical('u')} = digest),
+said as (select k, string_agg(name, ',' order by name) notices, count(*) n_notices from met group by k)
+select doc_id, {canonical('text')} digest, l.name licence, coalesce(notices, '') notices, coalesce(n_notices, 0) n_notices from doc left join said using (k) left join listed l on l.digest = {canonical('text')}
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op7_licence_digests": op7_sql(), "op10_winnowing": OP10_SQL}
+
+import corpus_pipeline  # noqa: E402  it stands at the top of the repository and counts as part of this subpackage
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
