@@ -12,17 +12,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, partitions
 from .components import connected_components
-from .words import chunks, mix, shingle_sets
+from .words import chunks, mix, pack, pack_numbers, shingle_sets, unpack_numbers, utf8
 
 WORDS = 5
 #: So many of the most frequent shingles count as long lists. It bounds what is broadcast; the result doesn't depend on it.
 LONG_LISTS = 100_000
-HEAVY = 1 << 62
+#: Postings of a bucket of lists, about: what a task merges at once.
+BUCKET = 1_000_000
 
 
 def needed(a, b):
@@ -111,36 +112,60 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     rank = np.argsort(np.lexsort((heavy, top["seen"].to_numpy(np.int64)))) if len(top) else np.zeros(0, np.int64)
     held = spark.sparkContext.broadcast((heavy, rank))
 
+    postings = known.agg(F.sum(F.expr("n - (3 * n + 3) div 4 + 1"))).first()[0] or 0
+    buckets = max(partitions(spark), -(-postings // BUCKET))
+
     def post(parts):
-        """(shingle, s1, meta) for the prefix of each distinct set of a batch; meta: long list or not, size, place."""
+        """Rows (bucket, long, n_posts, n_sets, packed) for the prefixes of the distinct sets of a batch."""
         heavy, rank = held.value
         for p in parts:
-            done = set()
+            done, sets, posts = set(), [], []
             for _, raws in chunks(list(p["text"])):
-                out = []
                 for s in shingle_sets(raws, WORDS):
-                    if len(s):
-                        s1, s2 = signature(s)
-                        if (s1, s2) not in done:
-                            done.add((s1, s2))
-                            n = len(s)
-                            row, short = ordered(s, heavy, rank)
-                            at = np.arange(n - (3 * n + 3) // 4 + 1)
-                            out.append((row[: len(at)], np.full(len(at), s1), (at >= short) * HEAVY + (n << 31) + at))
-                if out:
-                    yield pd.DataFrame(dict(zip(("shingle", "s1", "meta"), map(np.concatenate, zip(*out)))))
-
-    posted = docs.select("text").mapInPandas(post, "shingle long, s1 long, meta long")
-    inside = Window.partitionBy("shingle")
-    short = posted.filter(F.col("meta") < HEAVY)
-    # sets that several batches post are told apart from lists of different sets by the least and largest number
-    short = short.withColumn("pivot", F.min(F.struct((F.col("meta") % (1 << 31)).alias("pos"), "s1", "meta")).over(inside)).withColumn("lo", F.min("s1").over(inside)).withColumn("hi", F.max("s1").over(inside)).filter("lo < hi").drop("lo", "hi")
-    long = posted.filter(F.col("meta") >= HEAVY)
-    pivots = long.groupBy("shingle").agg(F.min(F.struct((F.col("meta") % (1 << 31)).alias("pos"), "s1", "meta")).alias("pivot"))
-    long = long.join(F.broadcast(pivots), "shingle")  # long_lists rows at most
-    n, pos = F.shiftright(F.col("meta").bitwiseAND(HEAVY - 1), 31), F.col("meta").bitwiseAND((1 << 31) - 1)
-    p_n = F.shiftright(F.col("pivot.meta").bitwiseAND(HEAVY - 1), 31)
-    lists = materialize(short.unionByName(long).select("shingle", "s1", n.alias("n"), pos.alias("pos"), F.col("pivot.s1").alias("pivot"), p_n.alias("pivot_n"), F.col("pivot.pos").alias("pivot_pos")))
+                    if len(s) and (name := signature(s)) not in done:
+                        done.add(name)
+                        n = len(s)
+                        row, short = ordered(s, heavy, rank)
+                        at = np.arange(n - (3 * n + 3) // 4 + 1)
+                        posts.append((row[: len(at)], np.full(len(at), len(sets)), at, at >= short))
+                        sets.append((name[0], n))
+            if not sets:
+                continue
+            s1, n = (np.array(x, np.int64) for x in zip(*sets))
+            shingle, owner, pos, is_long = map(np.concatenate, zip(*posts))
+            # a short list meets in the bucket of its shingle; rows of long lists pass through in any bucket
+            bucket = np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)
+            order = np.lexsort((shingle, is_long, bucket))
+            shingle, owner, pos, is_long, bucket = (x[order] for x in (shingle, owner, pos, is_long, bucket))
+            edges = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (is_long[1:] != is_long[:-1]), True])
+            rows = []
+            for a, b in zip(edges, edges[1:]):
+                own, place = np.unique(owner[a:b], return_inverse=True)
+                rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own])))
+            yield pd.DataFrame(rows, columns=["bucket", "long", "n_posts", "n_sets", "packed"])
+
+    def meet(p: pd.DataFrame) -> pd.DataFrame:
+        """The lists of a bucket that hold different sets, each row with its list's pivot; long lists without."""
+        got = []
+        for is_long, n_posts, n_sets, packed in zip(p["long"], p["n_posts"], p["n_sets"], p["packed"]):
+            step, place, pos, s1, n = unpack_numbers(packed, [n_posts] * 3 + [n_sets] * 2)
+            got.append((np.cumsum(step), s1[place], n[place], pos, np.full(n_posts, is_long)))
+        shingle, s1, n, pos, is_long = map(np.concatenate, zip(*got))
+        order = np.lexsort((s1, pos, shingle, is_long))
+        shingle, s1, n, pos, is_long = (x[order] for x in (shingle, s1, n, pos, is_long))
+        starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (is_long[1:] != is_long[:-1])])
+        lists = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(shingle)]))
+        differ = (np.minimum.reduceat(s1, starts) < np.maximum.reduceat(s1, starts))[lists] | is_long
+        first = starts[lists]
+        out = pd.DataFrame({"shingle": shingle, "s1": s1, "n": n, "pos": pos, "pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first], "long": is_long})[differ]
+        return out.drop_duplicates(["shingle", "s1", "long"])
+
+    posted = docs.select("text").mapInPandas(post, "bucket long, long boolean, n_posts long, n_sets long, packed binary")
+    met = materialize(posted.groupBy("bucket").applyInPandas(meet, "shingle long, s1 long, n long, pos long, pivot long, pivot_n long, pivot_pos long, long boolean"))
+    long = met.filter("long")
+    pivots = long.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
+    long = long.drop("pivot", "pivot_n", "pivot_pos").join(F.broadcast(pivots), "shingle")  # long_lists rows at most
+    lists = met.filter("not long").unionByName(long)
 
     def room(a: str, a_pos: str, b: str, b_pos: str):
         return F.expr(f"least({a} - {a_pos}, {b} - {b_pos}) >= (3 * ({a} + {b}) + 6) div 7")
@@ -149,35 +174,35 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     first = star.groupBy("s1").agg(F.max(F.struct("lists", "pivot")).alias("best")).select(F.col("s1").alias("a"), F.col("best.pivot").alias("b"))
 
     wanted = lists.select("s1").union(lists.select("pivot")).distinct().join(classes, "s1").select("s1", F.col("first_id").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("s1", "text")
+    texts = pack(docs, ["doc_id"]).join(wanted, "doc_id").select("s1", "packed")
 
     def own_class(parts):
         """Only rows whose text has the set that is asked for: an id may repeat with other texts."""
         for p in parts:
             keep = np.zeros(len(p), bool)
-            for at, raws in chunks(list(p["text"])):
+            for at, raws in chunks(list(p["packed"])):
                 for i, s in enumerate(shingle_sets(raws, WORDS)):
                     keep[at + i] = len(s) and signature(s)[0] == p["s1"].iloc[at + i]
             yield p[keep]
 
-    texts = materialize(texts.mapInPandas(own_class, "s1 long, text string"))
+    texts = materialize(texts.mapInPandas(own_class, "s1 long, packed binary"))
 
     def decide(parts):
         heavy, _ = held.value
         held_id, held_set = None, None
         for p in parts:
             keep = np.zeros(len(p), bool)
-            left, right = p["text_a"].tolist(), p["text_b"].tolist()
+            left, right = p["packed_a"].tolist(), p["packed_b"].tolist()
             for i, b in enumerate(p["b"].tolist()):
                 if b != held_id:
-                    held_id, held_set = b, next(shingle_sets([right[i].encode("utf-8", "replace")], WORDS))
-                keep[i] = similar(next(shingle_sets([left[i].encode("utf-8", "replace")], WORDS)), held_set, heavy)
+                    held_id, held_set = b, next(shingle_sets([utf8(right[i])], WORDS))
+                keep[i] = similar(next(shingle_sets([utf8(left[i])], WORDS)), held_set, heavy)
             yield p.loc[keep, ["a", "b"]]
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(texts.select(F.col("s1").alias("a"), F.col("text").alias("text_a")), "a")
-        two = one.join(texts.select(F.col("s1").alias("b"), F.col("text").alias("text_b")), "b")
-        return two.select("a", "b", "text_a", "text_b").mapInPandas(decide, "a long, b long").distinct()
+        one = pairs.join(texts.select(F.col("s1").alias("a"), F.col("packed").alias("packed_a")), "a")
+        two = one.join(texts.select(F.col("s1").alias("b"), F.col("packed").alias("packed_b")), "b")
+        return two.select("a", "b", "packed_a", "packed_b").mapInPandas(decide, "a long, b long").distinct()
 
     links = materialize(verified(first))
     labels = connected_components(links)

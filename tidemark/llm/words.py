@@ -7,16 +7,37 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark.sql import DataFrame
 
 #: Bytes of text that are taken apart at once: bounds a task's memory.
 CHUNK_BYTES = 3 << 20
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """(first index, UTF-8 texts) for runs of texts of about CHUNK_BYTES; null is empty."""
+def utf8(text: str | bytes | None) -> bytes:
+    """A text, or what pack() made of one, as UTF-8; null is empty."""
+    if isinstance(text, (bytes, bytearray)):
+        return zstandard.ZstdDecompressor().decompress(bytes(text))
+    return (text or "").encode("utf-8", "replace")
+
+
+def pack(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns `keep` and `packed`, the text compressed: half of what a shuffle would write of it otherwise."""
+
+    def squeeze(parts):
+        squeezer = zstandard.ZstdCompressor(level=1)
+        for p in parts:
+            yield p[keep].assign(packed=[squeezer.compress(utf8(t)) for t in p["text"]])
+
+    kept = docs.select(*keep, "text")
+    return kept.mapInPandas(squeeze, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["packed binary"]))
+
+
+def chunks(texts: list[str | bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """(first index, UTF-8 texts) for runs of texts of about CHUNK_BYTES."""
     at, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "replace")
+        raw = utf8(text)
         if held and size + len(raw) > CHUNK_BYTES:
             yield at, held
             at, held, size = i, [], 0
@@ -68,3 +89,18 @@ def shingle_sets(raws: list[bytes], k: int) -> Iterator[np.ndarray]:
         else:
             yield np.zeros(0, np.int64)
         at += n
+
+
+def pack_numbers(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers as one compressed string; equal bytes of neighbours lie together."""
+    planes = [np.ascontiguousarray(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack_numbers(packed: bytes, lengths: list[int]) -> list[np.ndarray]:
+    """The columns again, of the given lengths."""
+    raw, out, at = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(packed)), np.uint8), [], 0
+    for n in lengths:
+        out.append(np.ascontiguousarray(raw[at : at + 8 * n].reshape(8, n).T).reshape(-1).view(np.int64))
+        at += 8 * n
+    return out
