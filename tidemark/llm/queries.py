@@ -86,7 +86,64 @@ select doc_id, {canonical('text')} digest, l.name licence, coalesce(notices, '')
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op7_licence_digests": op7_sql(), "op10_winnowing": OP10_SQL}
+
+
+def op3_sql() -> str:
+    """The trees by nested lists, and the neighbour by a window over all documents."""
+    leaf = f"regexp_extract_all(p, '(?s).{{1,{fingerprints.LEAF}}}')"
+
+    def tree(t: str) -> str:
+        paragraph = f"sha256(array_to_string(list_transform({leaf}, lambda l: sha256(l)), ''))"
+        section = f"sha256(array_to_string(list_transform(string_split(s, chr(10)), lambda p: {paragraph}), '.'))"
+        said = f"array_to_string(list_transform({leaf}, lambda l: left(sha256(l), {fingerprints.DIGITS})), '')"
+        blocks = f"string_split({t}, chr(10) || chr(10))"
+        root = f"sha256(array_to_string(list_transform({blocks}, lambda s: {section}), '/'))"
+        return f"{root} || '/' || array_to_string(list_transform({blocks}, lambda s: '.' || array_to_string(list_transform(string_split(s, chr(10)), lambda p: {said}), '.')), '/')"
+
+    def leaves(f: str) -> str:
+        return f"list_distinct(regexp_extract_all(replace(replace(substr({f}, 65), '/', ''), '.', ''), '.{{{fingerprints.DIGITS}}}'))"
+
+    def near(a: str, b: str) -> str:
+        x, y = leaves(a), leaves(b)
+        return f"case when left({a}, 64) = left({b}, 64) then 1.0::double else least(2 * len(list_intersect({x}, {y}))::double / greatest(len({x}) + len({y}), 1), 0.999999::double) end"
+
+    return f"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+n as (select doc_id, t, coalesce(lead(t) over (order by doc_id desc), first(t) over (order by doc_id desc)) u from d),
+e as (select *, left(t, length(t) - length(t) // 2) || left(u, length(t) // 2) v from n),
+f as (select doc_id, length(t) n_chars, sha256(v) edited_sha256, {tree('t')} fingerprint, {tree('v')} edited_fingerprint, {tree('u')} next_fingerprint from e)
+select doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, {near('fingerprint', 'edited_fingerprint')} near_edited, {near('fingerprint', 'next_fingerprint')} near_next from f
+"""
+
+
+#: Words of a text, and the same with A-Z as a-z.
+WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every window of twenty words, in order of its starts.
+OP6_SQL = f"""
+with d as (select doc_id, {WORDS_SQL} w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 19], ' ') g from d, unnest(range(1, len(w) - 18)) t(i)),
+dup as (select doc_id, i from win qualify row_number() over (partition by g order by doc_id, i) > 1),
+gone as (select distinct doc_id, j from dup, unnest(range(i, i + 20)) t(j)),
+word as (select d.doc_id, j, w[j] x from d, unnest(range(1, len(w) + 1)) t(j)),
+kept as (select doc_id, string_agg(x, ' ' order by j) s, count(*) n from word anti join gone using (doc_id, j) group by 1)
+select doc_id, len(w) n_words, len(w) - coalesce(n, 0) n_removed, sha256(coalesce(s, '')) kept_sha256 from d left join kept using (doc_id)
+"""
+
+#: All pairs of documents that share a shingle, and what links reach.
+OP9_SQL = f"""
+with recursive d as (select doc_id, {WORDS_SQL.replace("coalesce(text, '')", f"coalesce({LOWER_SQL}, '')")} w from documents),
+sh as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') g from d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) where len(w) > 0),
+n as (select doc_id, count(*) n from sh group by 1),
+both_ as (select a.doc_id a, b.doc_id b, count(*) c from sh a join sh b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+link as (select a, b from both_ join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a),
+least_ as (select a, min(b) b from reach group by 1)
+select d.doc_id, coalesce(n, 0) n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) component_id from d left join n using (doc_id) left join least_ on a = d.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_merkle_fingerprints": op3_sql(), "op6_relative_lempel_ziv": OP6_SQL, "op9_divide_skip": OP9_SQL, "op7_licence_digests": op7_sql(), "op10_winnowing": OP10_SQL}
 
 import corpus_pipeline  # noqa: E402  it stands at the top of the repository and counts as part of this subpackage
 
