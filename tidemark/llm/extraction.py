@@ -9,11 +9,11 @@ itself belongs to the template is none of the article. What remains in the artic
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,12 +127,8 @@ def is_main(container: str) -> bool:
 
 
 def token(path: tuple[str, ...], text: str = "") -> str:
-    return ">".join(path) + ("\t" + text if text else "")
-
-
-def key(s: str) -> int:
-    """A hash that is the same in every process."""
-    return int(pd.util.hash_array(np.array([s], dtype=object))[0])
+    """A container by its path, a text block by its path and a hash of its text."""
+    return ">".join(path) + ("\t" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest() if text else "")
 
 
 def host_of(url: Column) -> Column:
@@ -170,7 +166,7 @@ def count_tokens(parts):
         yield pd.DataFrame(rows, columns=["host", "token", "pages", "times", "vector", "chars", "links"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
     """host -> slots: the containers of the host's template, with `menu` (mostly links), and fixed texts.
 
     pages: host, page_key, html. Classes are the tokens of a host with the same vector; those of at least two tokens
@@ -178,9 +174,9 @@ def templates(pages: DataFrame) -> DataFrame:
     host's row is no longer than twice a mean page.
     """
     tokens = pages.mapInPandas(count_tokens, COUNTED).groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    tokens = materialize(tokens)
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    often = tokens.join(hosts, "host").filter(F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2))))
+    hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
+    small = hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts
+    often = materialize(tokens.join(F.broadcast(hosts) if small else hosts, "host").filter(F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2)))))
     classes = often.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"))
     valid = often.join(classes, ["host", "vector"]).filter("members >= 2 and times = pages")
     is_text = F.contains(F.col("token"), F.lit("\t"))
@@ -201,7 +197,7 @@ def extract(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
     keep their own results; other columns are ignored. A hot host's pages stay spread: only counts are gathered by host.
     """
     base = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("page_key"))
-    known = materialize(templates(base.select("host", "page_key", "html")))
+    known = materialize(templates(base.select("host", "page_key", "html"), broadcast_hosts))
     small = known.limit(broadcast_hosts + 1).count() <= broadcast_hosts
     told = base.join(F.broadcast(known) if small else known, "host", "left")
 
