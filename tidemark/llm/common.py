@@ -86,3 +86,20 @@ def ascii_lower(text: Column) -> Column:
 def let(value: Column, use) -> Column:
     """use(value) with `value` worked out once, however often and however deep in lambdas `use` names it."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def most_frequent(counted: DataFrame, count: str, limit: int, least: int) -> DataFrame:
+    """The rows with the largest `count`, at most `limit` of them and none under `least`.
+
+    A histogram over the counts (a row for each sixteenth of an octave) tells from where on all rows are taken, so no
+    task orders all of them.
+    """
+    step = F.floor(F.log2(F.col(count).cast("double")) * 16)
+    bins = counted.filter(F.col(count) >= least).groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min(count).alias("from")).collect()  # a thousand rows at most
+    start, room = None, limit
+    for b in sorted(bins, key=lambda b: -b["step"]):
+        room -= b["n"]
+        if room < 0:
+            break
+        start = b["from"]
+    return counted.filter(F.col(count) >= start) if start is not None else counted.limit(0)

@@ -15,13 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, most_frequent, partitions
 from .components import connected_components
 from .words import chunks, mix, pack, pack_numbers, shingle_sets, unpack_numbers, utf8
 
 WORDS = 5
 #: So many of the most frequent shingles count as long lists. It bounds what is broadcast; the result doesn't depend on it.
 LONG_LISTS = 100_000
+#: Sets that a task keeps while it decides pairs.
+KEPT_SETS = 2_000
 #: Postings of a bucket of lists, about: what a task merges at once.
 BUCKET = 1_000_000
 
@@ -106,7 +108,8 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     both = materialize(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, s1 long, s2 long, shingle long, seen long"))
     known = both.filter("shingle is null").select("doc_id", "n", "s1", "s2")
     classes = materialize(known.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")))
-    top = both.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter("seen >= 8").orderBy(F.desc("seen"), "shingle").limit(long_lists).toPandas()  # long_lists rows at most
+    seen = materialize(both.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter("seen >= 8"))
+    top = most_frequent(seen, "seen", long_lists, 8).toPandas()  # long_lists rows at most
     top = top.sort_values("shingle")
     heavy = top["shingle"].to_numpy(np.int64)
     rank = np.argsort(np.lexsort((heavy, top["seen"].to_numpy(np.int64)))) if len(top) else np.zeros(0, np.int64)
@@ -189,14 +192,18 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
 
     def decide(parts):
         heavy, _ = held.value
-        held_id, held_set = None, None
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(name: int, packed: bytes) -> np.ndarray:
+            """The set of a text; the last ones are kept, as pairs of a pivot follow each other."""
+            if name not in sets:
+                if len(sets) >= KEPT_SETS:
+                    sets.pop(next(iter(sets)))
+                sets[name] = next(shingle_sets([utf8(packed)], WORDS))
+            return sets[name]
+
         for p in parts:
-            keep = np.zeros(len(p), bool)
-            left, right = p["packed_a"].tolist(), p["packed_b"].tolist()
-            for i, b in enumerate(p["b"].tolist()):
-                if b != held_id:
-                    held_id, held_set = b, next(shingle_sets([utf8(right[i])], WORDS))
-                keep[i] = similar(next(shingle_sets([utf8(left[i])], WORDS)), held_set, heavy)
+            keep = [similar(set_of(a, x), set_of(b, y), heavy) for a, b, x, y in zip(p["a"].tolist(), p["b"].tolist(), p["packed_a"], p["packed_b"])]
             yield p.loc[keep, ["a", "b"]]
 
     def verified(pairs: DataFrame) -> DataFrame:
