@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, most_frequent
 from .words import CHUNK_BYTES, run_hashes, word_hashes
 
 WINDOW, GRAM = 20, 8
@@ -107,7 +107,7 @@ def repeated_runs(docs: DataFrame, first: DataFrame, split_anchors: int = SPLIT_
     group = Window.partitionBy("spread", "known")
     shared = asked.withColumn("low", F.min("text_hash").over(group)).withColumn("high", F.max("text_hash").over(group)).filter("known or low < high")
     shared = materialize(shared.select("anchor", "text_hash", "known"))
-    hot = shared.groupBy("anchor").count().filter("count >= 256").orderBy(F.desc("count"), "anchor").limit(split_anchors).toPandas()  # split_anchors rows at most
+    hot = most_frequent(shared.groupBy("anchor").count(), "count", split_anchors, 256).toPandas()  # split_anchors rows at most
     held = spark.sparkContext.broadcast(np.sort(hot["anchor"].to_numpy(np.int64)))
     flagged = shared.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors"))
     flagged = flagged.join(first, "text_hash").withColumnRenamed("first_id", "doc_id")
