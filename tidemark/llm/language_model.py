@@ -14,13 +14,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, partitions
 from .quality import fold
-from .words import chunks
+from .words import chunks, pack, pack_numbers, unpack_numbers
 
 ORDER = 5
 #: Bytes of text of a group of documents at most, about: what a task holds at once.
 GROUP_BYTES = 24 << 20
+#: Bytes of text whose grams are numbered at once: they take some fifty times as much.
+CHUNK = 1 << 19
+#: Chunks after which the counts of a part are added up.
+MERGE_EVERY = 6
+#: Bytes of text for a bucket of counts, about.
+BUCKET_BYTES = 16 << 20
 #: Never part of UTF-8: stands before the first byte and after the last one.
 EDGE = 0xFF
 #: Counts as the token after the last word; no word has white space.
@@ -51,22 +57,72 @@ def tokens(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(raws)), lengths), pd.util.hash_array(flat, categorize=True).view(np.int64)
 
 
-def count(parts):
-    """(part, kind, key, n): what the texts of a part have, and how often its training texts have it."""
+def dealt(kind: int, keys: np.ndarray, numbers: np.ndarray, buckets: int) -> list[tuple]:
+    """(kind, bucket, m, packed): keys with a number each, dealt by key; in each packet sorted by key."""
+    bucket = np.mod(keys, buckets)
+    order = np.lexsort((keys, bucket))
+    keys, numbers, bucket = keys[order], numbers[order], bucket[order]
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(keys) else []
+    return [(kind, int(bucket[a]), b - a, packet(keys[a:b], numbers[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def packet(keys: np.ndarray, numbers: np.ndarray) -> bytes:
+    return pack_numbers(np.diff(keys, prepend=0), numbers.view(np.int64))
+
+
+def opened(packed: bytes, m: int) -> tuple[np.ndarray, np.ndarray]:
+    steps, numbers = unpack_numbers(packed, [m, m])
+    return np.cumsum(steps), numbers
+
+
+def count(parts, buckets: int):
+    """Packets (part, kind, bucket, m, packed) of what the texts of a part have, and how often its training texts
+    have it."""
     for p in parts:
         for part, q in p.groupby("part"):
-            found: list[tuple[int, np.ndarray, np.ndarray]] = []
+            held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAM: [], WORD: []}
             learn = ~q["held_out"].to_numpy(bool)
-            for at, raws in chunks(list(q["text"])):
+            for at, raws in chunks(list(q["text"]), CHUNK):
                 raws = [r.lower() for r in raws]
                 for kind, take in ((GRAM, byte_grams), (WORD, tokens)):
                     text, keys = take(raws)
-                    code, known = pd.factorize(keys)
-                    found.append((kind, known, np.bincount(code, weights=learn[at + text], minlength=len(known)).astype(np.int64)))
-            for kind in (GRAM, WORD):
-                keys, n = (np.concatenate(x) for x in zip(*[f[1:] for f in found if f[0] == kind]))
-                code, known = pd.factorize(keys)
-                yield pd.DataFrame({"part": part, "kind": kind, "key": known, "n": np.bincount(code, weights=n, minlength=len(known)).astype(np.int64)})
+                    held[kind].append(merged([(keys, learn[at + text])]))
+                    if len(held[kind]) > MERGE_EVERY:
+                        held[kind] = [merged(held[kind])]
+            for kind, found in held.items():
+                yield pd.DataFrame(dealt(kind, *merged(found), buckets), columns=["kind", "bucket", "m", "packed"]).assign(part=part)
+
+
+def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their numbers."""
+    code, keys = pd.factorize(np.concatenate([k for k, _ in found]))
+    return keys, np.bincount(code, weights=np.concatenate([n for _, n in found]), minlength=len(keys)).astype(np.int64)
+
+
+def total(p: pd.DataFrame) -> pd.DataFrame:
+    """The packets of a bucket together: of byte grams each key with its sum; of words each part's keys with their sums,
+    and the sum and number of all."""
+    kind = int(p["kind"].iloc[0])
+    got = [opened(x, m) for x, m in zip(p["packed"], p["m"])]
+    code, keys = pd.factorize(np.concatenate([k for k, _ in got]))
+    sums = np.bincount(code, weights=np.concatenate([n for _, n in got]), minlength=len(keys)).astype(np.int64)
+    if kind == GRAM:
+        return pd.DataFrame({"kind": kind, "part": 0, "key": keys, "n": sums, "m": 0, "packed": None})
+    ends = np.cumsum([len(k) for k, _ in got])
+    told = [packet(k, sums[code[e - len(k) : e]].astype(np.float64)) for (k, _), e in zip(got, ends)]
+    facts = pd.DataFrame({"kind": [kind], "part": [0], "key": [int((sums > 0).sum())], "n": [int(sums.sum())], "m": [0], "packed": [None]})
+    return pd.concat([facts, pd.DataFrame({"kind": kind, "part": p["part"].to_numpy(), "key": 0, "n": 0, "m": p["m"].to_numpy(), "packed": told})])
+
+
+def answer(asked: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+    """The packets of a bucket with the value of each key in place of its count."""
+    order = np.argsort(values["key"].to_numpy(np.int64))
+    keys, value = values["key"].to_numpy(np.int64)[order], values["value"].to_numpy()[order]
+    told = []
+    for x, m in zip(asked["packed"], asked["m"]):
+        own, _ = opened(x, m)
+        told.append(packet(own, value[np.searchsorted(keys, own)]))
+    return pd.DataFrame({"kind": GRAM, "part": asked["part"].to_numpy(), "m": asked["m"].to_numpy(), "packed": told})
 
 
 def code_lengths(grams: DataFrame) -> DataFrame:
@@ -108,25 +164,28 @@ def score(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", text.alias("text"), (fold(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 7) == 2).alias("held_out"), F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("split"))
-    largest = base.groupBy("split").agg(F.sum(F.octet_length("text")).alias("bytes")).agg(F.max("bytes")).first()[0] or 0
-    cuts = max(1, -(-largest // group_bytes))
+    sizes = base.groupBy("split").agg(F.sum(F.octet_length("text")).alias("bytes")).agg(F.max("bytes").alias("largest"), F.sum("bytes").alias("all")).first()
+    cuts = max(1, -(-(sizes["largest"] or 0) // group_bytes))
+    buckets = max(partitions(docs.sparkSession), -(-(sizes["all"] or 0) // BUCKET_BYTES)) | 1
     base = base.withColumn("part", F.xxhash64("split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(cuts)))).drop("split")
-    counts = base.select("part", "held_out", "text").mapInPandas(count, "part long, kind int, key long, n long")
-    counts = materialize(counts.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.collect_set("part").alias("parts")))
-    sums = counts.filter(F.col("kind") == WORD).agg(F.sum("n").alias("all"), F.sum((F.col("n") > 0).cast("long")).alias("kinds")).first()
+    counts = base.select("part", "held_out", "text").mapInPandas(lambda parts: count(parts, buckets), "kind int, bucket long, m long, packed binary, part long")
+    counts = materialize(counts)
+    totals = materialize(counts.groupBy("kind", "bucket").applyInPandas(total, "kind int, part long, key long, n long, m long, packed binary"))
+    sums = totals.filter((F.col("kind") == WORD) & F.col("packed").isNull()).agg(F.sum("n").alias("all"), F.sum("key").alias("kinds")).first()
     train, kinds = sums["all"] or 0, sums["kinds"] or 0
-    grams = counts.filter(F.col("kind") == GRAM)
-    values = grams.select("key", "parts").join(code_lengths(grams.select("key", "n")), "key").select(F.explode("parts").alias("part"), F.lit(GRAM).alias("kind"), "key", "value")
-    words = counts.filter(F.col("kind") == WORD).select(F.explode("parts").alias("part"), F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value"))
+    values = code_lengths(totals.filter(F.col("kind") == GRAM).select("key", "n")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    grams = counts.filter(F.col("kind") == GRAM).groupBy("bucket").cogroup(values.groupBy("bucket")).applyInPandas(answer, "kind int, part long, m long, packed binary")
+    words = totals.filter((F.col("kind") == WORD) & F.col("packed").isNotNull()).select("kind", "part", "m", "packed")
 
     def rate(own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known = {}
         for kind in (GRAM, WORD):
             t = told[told["kind"] == kind]
-            order = np.argsort(t["key"].to_numpy(np.int64))
-            known[kind] = t["key"].to_numpy(np.int64)[order], t["value"].to_numpy()[order]
+            keys, value = (np.concatenate(x) for x in zip(*[opened(x, m) for x, m in zip(t["packed"], t["m"])]))
+            keys, first = np.unique(keys, return_index=True)
+            known[kind] = keys, value[first].view(np.float64)
         out = np.zeros((len(own), 5))
-        for at, raws in chunks(list(own["text"])):
+        for at, raws in chunks(list(own["packed"]), CHUNK):
             n_bytes, raws = [len(r) + 1 for r in raws], [r.lower() for r in raws]
             here = slice(at, at + len(raws))
             for kind, take in ((GRAM, byte_grams), (WORD, tokens)):
@@ -142,5 +201,6 @@ def score(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
                     out[here, 3] = np.bincount(text, weights=got > 0, minlength=len(raws))
         return pd.DataFrame({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": out[:, 2].astype(np.int64), "n_known": out[:, 3].astype(np.int64), "train_tokens": train, "base_score": out[:, 1], "score": out[:, 0], "bits_per_byte": -out[:, 0] / np.log10(2) / np.maximum(out[:, 4], 1)})
 
-    told = values.unionByName(words)
-    return base.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+    told = grams.unionByName(words)
+    texts = pack(base, ["part", "doc_id", "held_out"])
+    return texts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

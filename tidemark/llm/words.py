@@ -33,12 +33,12 @@ def pack(docs: DataFrame, keep: list[str]) -> DataFrame:
     return kept.mapInPandas(squeeze, ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["packed binary"]))
 
 
-def chunks(texts: list[str | bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """(first index, UTF-8 texts) for runs of texts of about CHUNK_BYTES."""
+def chunks(texts: list[str | bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(first index, UTF-8 texts) for runs of texts of about `limit` bytes."""
     at, held, size = 0, [], 0
     for i, text in enumerate(texts):
         raw = utf8(text)
-        if held and size + len(raw) > CHUNK_BYTES:
+        if held and size + len(raw) > limit:
             yield at, held
             at, held, size = i, [], 0
         held.append(raw)
