@@ -3,8 +3,9 @@
 A page is a row of tokens: its containers (with the path of containers around them) and its text blocks. Tokens of a
 host that occur equally often on each of its pages, that is with the same occurrence vector, form an equivalence class.
 Large, frequent classes that occur once a page are the host's template; their containers nest by path and leave slots
-between them. Slots of menus, notices, adverts and the like are told by their names or by being mostly links; text that
-itself belongs to the template is none of the article. What remains in the article's slots is the main text.
+between them. Slots of menus, notices, adverts and the like are told by their names or by being mostly links, each by the
+text that no smaller slot holds; text that itself belongs to the template is none of the article. What remains in the
+article's slots is the main text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import hashlib
 import html as entities
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,8 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z
 ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Share of a host's pages on which a token must stand to be frequent, and of link text above which a slot is a menu.
 FREQUENT, LINKS = 0.6, 0.5
+#: Stands between the containers of a token; names hold no white space.
+INSIDE = "\n"
 
 
 def names_of(attributes: str) -> list[str]:
@@ -109,6 +113,7 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     return out
 
 
+@lru_cache(1 << 14)
 def is_aside(path: tuple[str, ...]) -> bool:
     """Whether a container around the block is named as something beside the article."""
     inside = False
@@ -126,65 +131,88 @@ def is_main(container: str) -> bool:
     return tag in MAIN_TAGS or any(n.replace("-", "").replace("_", "") in MAIN_NAMES for n in names)
 
 
+@lru_cache(1 << 14)
+def place_of(path: tuple[str, ...]) -> int:
+    """2 for a container of the article, 1 for what stands inside one, 0 for all else."""
+    return 0 if not path or is_aside(path) else 2 if is_main(path[-1]) else int(any(map(is_main, path)))
+
+
 def token(path: tuple[str, ...], text: str = "") -> str:
     """A container by its path, a text block by its path and a hash of its text."""
-    return ">".join(path) + ("\t" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest() if text else "")
+    return INSIDE.join(path) + ("\t" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest() if text else "")
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-COUNTED = "host string, token string, pages long, times long, vector long, chars long, links long"
+COUNTED = "host string, token string, pages long, times long, vector long, chars long, links long, place int"
 
 
 def count_tokens(parts):
-    """For each host and token of a batch: its pages, its occurrences, a checksum of its occurrence vector, and how
-    much text, and text in links, stands in it."""
+    """For each host and token of a batch: its pages, its occurrences, a checksum of its occurrence vector, how much
+    text, and text in links, stands in it and in no container further inside (without what goes by name), its place."""
     for p in parts:
         got: dict[tuple[str, str], list[int]] = {}
         for host, page_key, page in zip(p["host"], p["page_key"].tolist(), p["html"]):
             seen: Counter = Counter()
             inside: dict[str, list[int]] = {}
             for path, text, links in blocks(page):
+                sums = inside.setdefault(token(path), [0, 0, place_of(path)])
                 if text:
                     seen[token(path, text)] += 1
-                    for i in range(1, len(path) + 1):
-                        sums = inside.setdefault(token(path[:i]), [0, 0])
+                    if not is_aside(path):
                         sums[0] += len(text)
                         sums[1] += links
                 else:
                     seen[token(path)] += 1
             for t, n in seen.items():
-                have = got.setdefault((host, t), [0, 0, 0, 0, 0])
-                chars, links = inside.get(t, (0, 0))
+                chars, links, place = inside.get(t, (0, 0, 0))
+                have = got.setdefault((host, t), [0, 0, 0, 0, 0, place])
                 spot = (page_key ^ (n * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
                 for i, x in enumerate((1, n, 0, chars, links)):
                     have[i] += x
                 have[2] ^= spot ^ spot >> 29
-        rows = [(h, t, a, b, v - (1 << 64) if v >> 63 else v, c, d) for (h, t), (a, b, v, c, d) in got.items()]
-        yield pd.DataFrame(rows, columns=["host", "token", "pages", "times", "vector", "chars", "links"])
+        rows = [(h, t, a, b, v - (1 << 64) if v >> 63 else v, c, d, e) for (h, t), (a, b, v, c, d, e) in got.items()]
+        yield pd.DataFrame(rows, columns=["host", "token", "pages", "times", "vector", "chars", "links", "place"])
 
 
 def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
-    """host -> slots: the containers of the host's template, with `menu` (mostly links), and fixed texts.
+    """host -> slots: the containers of the host's template, with `menus` (mostly links), and fixed texts.
 
     pages: host, page_key, html. Classes are the tokens of a host with the same vector; those of at least two tokens
     that stand once a page on most pages are the template. A host with one page has its containers as the template. A
-    host's row is no longer than twice a mean page.
+    slot is a menu by the text of which it is the innermost template container. Containers of the article, those around
+    them, and of the slots inside the one with the most text outside links are never menus. A host's row is no longer
+    than twice a mean page.
     """
-    tokens = pages.mapInPandas(count_tokens, COUNTED).groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    tokens = pages.mapInPandas(count_tokens, COUNTED).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "chars", "links")], F.bit_xor("vector").alias("vector"), F.max("place").alias("place"))
     hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     small = hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts
-    often = materialize(tokens.join(F.broadcast(hosts) if small else hosts, "host").filter(F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2)))))
+    spread = F.broadcast if small else lambda by_host: by_host
+    frequent = F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2)))
+    filled = (F.col("chars") > 0) | (F.col("place") == 2)
+    listed = materialize(tokens.join(spread(hosts), "host").filter(frequent | filled))
+    often = listed.filter(frequent)
     classes = often.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"))
-    valid = often.join(classes, ["host", "vector"]).filter("members >= 2 and times = pages")
+    valid = materialize(often.join(classes, ["host", "vector"]).filter("members >= 2 and times = pages").select("host", "token", "host_pages", "place"))
     is_text = F.contains(F.col("token"), F.lit("\t"))
-    return valid.groupBy("host").agg(
-        F.collect_list(F.when(~is_text & (F.col("links") > F.col("chars") * LINKS), F.col("token"))).alias("menus"),
-        F.collect_list(F.when(~is_text, F.col("token"))).alias("containers"),
-        F.collect_list(F.when(is_text & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
-    )
+
+    slots = valid.filter(~is_text).groupBy("host").agg(F.collect_list("token").alias("slots"))
+    around = F.filter("slots", lambda c: (c == F.col("token")) | F.startswith(F.col("token"), F.concat(c, F.lit(INSIDE))))
+    nested = listed.filter(filled).join(spread(slots), "host").select("host", "chars", "links", "place", around.alias("around")).filter(F.size("around") > 0)
+    innermost = F.array_max("around")  # the longest, as all begin one token
+    held = nested.groupBy("host", innermost.alias("token")).agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+    guarded = nested.filter("place = 2").select("host", F.explode("around").alias("token")).distinct().withColumn("guarded", F.lit(True))
+    outside_links = F.struct(F.col("chars") - F.col("links"), F.col("token"))
+    return (
+        valid.join(held, ["host", "token"], "left").join(guarded, ["host", "token"], "left").groupBy("host").agg(
+            F.collect_list(F.when(~is_text & F.col("guarded").isNull() & (F.col("links") > F.col("chars") * LINKS), F.col("token"))).alias("menus"),
+            F.max(F.when(F.col("place") > 0, outside_links))["token"].alias("body"),
+            F.collect_list(F.when(~is_text, F.col("token"))).alias("containers"),
+            F.collect_list(F.when(is_text & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
+        ).select("host", F.filter("menus", lambda m: ~m.eqNullSafe(F.col("body"))).alias("menus"), "containers", "texts")
+    )
 
 
 def extract(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
@@ -209,8 +237,8 @@ def extract(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
                 found = [(path, text) for path, text, _ in blocks(page) if text and not is_aside(path)]
 
                 def in_slot(path: tuple[str, ...]) -> bool:
-                    slots = [t for t in (token(path[:i]) for i in range(1, len(path) + 1)) if t in containers]
-                    return not any(t in menus for t in slots)
+                    slot = next((t for t in (token(path[:i]) for i in range(len(path), 0, -1)) if t in containers), None)
+                    return slot not in menus
 
                 kept = [(path, text) for path, text in found if in_slot(path) and token(path, text) not in fixed]
                 inner = [(path, text) for path, text in kept if any(map(is_main, path))]
