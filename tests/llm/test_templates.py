@@ -37,3 +37,26 @@ def test_articles_full_of_links(spark):
     for inner in (False, True):
         want = {i: "\n\n".join([f"Title {i}", *[f"See the long name of a linked thing {i} {k} too" for k in range(3)]]) for i in range(6)}
         assert texts(spark, [page(i, inner) for i in range(6)]) == want
+
+
+def story(n, tag="article"):
+    return f"<html><body><div class=top>Some site</div><{tag} class=story><h1>Title {n}</h1><p>Body of {n}</p></{tag}><div class=end>Same words on each page</div></body></html>"
+
+
+def test_copies_of_a_page_count_once(spark):
+    want = "Title {0}\n\nBody of {0}"
+    assert texts(spark, [story(0)] * 5) == {i: want.format(0) for i in range(5)}
+    for tag in ("article", "div"):  # mostly one article, and each of them evenly repeated
+        for which in ([0] * 9 + [1, 2, 3], [0, 1, 2, 3] * 2):
+            assert texts(spark, [story(n, tag) for n in which]) == {i: want.format(n) for i, n in enumerate(which)}, (tag, which)
+
+
+def test_repeated_rows_keep_their_own_results(spark):
+    pages = spark.createDataFrame([(n, f"http://h.example/{n}", story(n, "div")) for n in range(5)] * 4, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["text"]) for r in extraction.extract(pages).collect())
+    assert got == [(n, f"Title {n}\n\nBody of {n}") for n in range(5) for _ in range(4)]
+
+
+def test_text_of_near_copies_of_an_article_stays(spark):
+    pages = [story(0).replace("Some site", f"Visitor {i}") for i in range(6)]
+    assert texts(spark, pages) == {i: "Title 0\n\nBody of 0" for i in range(6)}

@@ -146,48 +146,53 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-COUNTED = "host string, token string, pages long, times long, vector long, chars long, links long, place int"
+COUNTED = "host string, content long, token array<string>, times array<long>, chars array<long>, links array<long>, place array<int>"
 
 
 def count_tokens(parts):
-    """For each host and token of a batch: its pages, its occurrences, a checksum of its occurrence vector, how much
-    text, and text in links, stands in it and in no container further inside (without what goes by name), its place."""
+    """For each page: a hash of what stands on it (equal for copies), and for each of its tokens how often it occurs,
+    how much text, and text in links, stands in it and in no container further inside (without what goes by name), and
+    its place. Copies inside a batch give one row."""
     for p in parts:
-        got: dict[tuple[str, str], list[int]] = {}
-        for host, page_key, page in zip(p["host"], p["page_key"].tolist(), p["html"]):
+        got: dict[tuple[str, int], list] = {}
+        for host, page in zip(p["host"], p["html"]):
+            found = blocks(page)
+            content = int.from_bytes(hashlib.blake2b(repr(found).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+            if (host, content) in got:
+                continue
             seen: Counter = Counter()
             inside: dict[str, list[int]] = {}
-            for path, text, links in blocks(page):
+            for path, text, links in found:
                 sums = inside.setdefault(token(path), [0, 0, place_of(path)])
                 if text:
-                    seen[token(path, text)] += 1
+                    block = token(path, text)
+                    seen[block] += 1
+                    inside[block] = [0, 0, min(1, sums[2])]
                     if not is_aside(path):
                         sums[0] += len(text)
                         sums[1] += links
                 else:
                     seen[token(path)] += 1
-            for t, n in seen.items():
-                chars, links, place = inside.get(t, (0, 0, 0))
-                have = got.setdefault((host, t), [0, 0, 0, 0, 0, place])
-                spot = (page_key ^ (n * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-                for i, x in enumerate((1, n, 0, chars, links)):
-                    have[i] += x
-                have[2] ^= spot ^ spot >> 29
-        rows = [(h, t, a, b, v - (1 << 64) if v >> 63 else v, c, d, e) for (h, t), (a, b, v, c, d, e) in got.items()]
-        yield pd.DataFrame(rows, columns=["host", "token", "pages", "times", "vector", "chars", "links", "place"])
+            chars, links, place = zip(*(inside[t] for t in seen)) if seen else ((), (), ())
+            got[host, content] = [list(seen), list(seen.values()), list(chars), list(links), list(place)]
+        yield pd.DataFrame([(*k, *v) for k, v in got.items()], columns=["host", "content", "token", "times", "chars", "links", "place"])
 
 
 def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
     """host -> slots: the containers of the host's template, with `menus` (mostly links), and fixed texts.
 
-    pages: host, page_key, html. Classes are the tokens of a host with the same vector; those of at least two tokens
-    that stand once a page on most pages are the template. A host with one page has its containers as the template. A
-    slot is a menu by the text of which it is the innermost template container. Containers of the article, those around
-    them, and of the slots inside the one with the most text outside links are never menus. A host's row is no longer
-    than twice a mean page.
+    pages: host, html. Pages of a host with the same blocks count once. Classes are the tokens of a host with the same
+    vector; those of at least two tokens that stand once a page on most pages are the template. A host with one page has
+    its containers as the template. Text inside a container of the article is never fixed. A slot is a menu by the text
+    of which it is the innermost template container. Containers of the article, those around them, and of the slots
+    inside the one with the most text outside links are never menus. A host's row is no longer than twice a mean page.
     """
-    tokens = pages.mapInPandas(count_tokens, COUNTED).groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("pages", "times", "chars", "links")], F.bit_xor("vector").alias("vector"), F.max("place").alias("place"))
-    hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
+    distinct = materialize(pages.mapInPandas(count_tokens, COUNTED).dropDuplicates(["host", "content"]))
+    hosts = materialize(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
+    lists = F.arrays_zip("token", "times", "chars", "links", "place")
+    each = distinct.select("host", "content", F.inline(lists))
+    vector = F.bit_xor(F.xxhash64("content", "times"))  # nothing cancels, as contents differ
+    tokens = each.groupBy("host", "token").agg(F.count(F.lit(1)).alias("pages"), *[F.sum(c).alias(c) for c in ("times", "chars", "links")], vector.alias("vector"), F.max("place").alias("place"))
     small = hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts
     spread = F.broadcast if small else lambda by_host: by_host
     frequent = F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2)))
@@ -208,9 +213,9 @@ def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
     return (
         valid.join(held, ["host", "token"], "left").join(guarded, ["host", "token"], "left").groupBy("host").agg(
             F.collect_list(F.when(~is_text & F.col("guarded").isNull() & (F.col("links") > F.col("chars") * LINKS), F.col("token"))).alias("menus"),
-            F.max(F.when(F.col("place") > 0, outside_links))["token"].alias("body"),
+            F.max(F.when(~is_text & (F.col("place") > 0), outside_links))["token"].alias("body"),
             F.collect_list(F.when(~is_text, F.col("token"))).alias("containers"),
-            F.collect_list(F.when(is_text & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
+            F.collect_list(F.when(is_text & (F.col("place") == 0) & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
         ).select("host", F.filter("menus", lambda m: ~m.eqNullSafe(F.col("body"))).alias("menus"), "containers", "texts")
     )
 
@@ -222,10 +227,11 @@ def extract(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
     Blocks in slots beside the article, in menus, and template texts go; if the page has a container of the article,
     only blocks inside stay. White space inside a block becomes one space, blocks are joined by two line feeds. Null or
     empty pages, and pages without an article text, have an empty text; a null url counts as one host; repeated rows
-    keep their own results; other columns are ignored. A hot host's pages stay spread: only counts are gathered by host.
+    keep their own results and, like all copies of a page on its host, count once for the template; other columns are
+    ignored. A hot host's pages stay spread: only counts are gathered by host.
     """
-    base = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("page_key"))
-    known = materialize(templates(base.select("host", "page_key", "html"), broadcast_hosts))
+    base = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    known = materialize(templates(base.select("host", "html"), broadcast_hosts))
     small = known.limit(broadcast_hosts + 1).count() <= broadcast_hosts
     told = base.join(F.broadcast(known) if small else known, "host", "left")
 
