@@ -32,6 +32,8 @@ KNOWN = [
 
 #: A whole line that states who holds the copyright and since when.
 COPYRIGHT_LINE = r"(?im)^[^\n0-9A-Za-z]*(copyright|\(c\)|©)[^\n]*$"
+#: What stands between two blocks.
+BLANK_LINE = r"\n[ \t\r]*\n"
 
 
 def canonical(text: Column) -> Column:
@@ -73,10 +75,13 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFra
     def sha(c: Column) -> Column:
         return F.sha2(canonical(c).cast("binary"), 256)
 
-    units = F.array_distinct(F.concat(F.split("text", r"\n[ \t\r]*\n"), F.split("text", "\n")))
-    longest = max([4 * len(t) for _, t in (known if known is not None else KNOWN)], default=0)
-    short = F.filter(units, lambda u: (F.length(u) > 0) & (F.length(u) <= longest))
-    found = base.select("key", F.explode(short).alias("unit")).withColumn("digest", sha(F.col("unit"))).join(listed, "digest")
-    notices = found.groupBy("key").agg(F.sort_array(F.collect_set("name")).alias("notices"))
-    whole = base.select("doc_id", "key", sha(F.col("text")).alias("digest")).join(listed, "digest", "left")
-    return whole.join(notices, "key", "left").select("doc_id", "digest", F.col("name").alias("licence"), F.array_join(F.coalesce("notices", F.array().cast("array<string>")), ",").alias("notices"), F.array_size(F.coalesce("notices", F.array().cast("array<string>"))).cast("long").alias("n_notices"))
+    units = F.array_distinct(F.concat(F.split("text", BLANK_LINE), F.split("text", "\n")))
+    rest = F.filter(units, lambda u: (F.length(u) > 0) & (u != F.col("text")))  # of any length: copyright lines and rules go
+    found = base.select("key", F.explode(rest).alias("unit")).withColumn("digest", sha(F.col("unit"))).join(listed, "digest")
+    notices = found.groupBy("key").agg(F.collect_set("name").alias("notices"))
+    one_block = ~F.col("text").rlike(BLANK_LINE)  # the text is a block of its own, with the digest of the whole
+    whole = base.select("doc_id", "key", one_block.alias("one_block"), sha(F.col("text")).alias("digest")).join(listed, "digest", "left")
+    none = F.array().cast("array<string>")
+    own = F.when(F.col("one_block") & F.col("name").isNotNull(), F.array("name")).otherwise(none)
+    said = whole.join(notices, "key", "left").withColumn("notices", F.sort_array(F.array_union(F.coalesce("notices", none), own)))
+    return said.select("doc_id", "digest", F.col("name").alias("licence"), F.array_join("notices", ",").alias("notices"), F.array_size("notices").cast("long").alias("n_notices"))
