@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from .common import ascii_lower, let, materialize
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words of a window, and of the grams that are hashed.
 WINDOW, GRAM = 10, 5
-#: Benchmarks whose fingerprints and words take up to so many bytes are sent to every executor; larger ones are shuffled.
+#: Tables of fingerprints, windows or places that take up to so many bytes are sent to every executor; larger ones are shuffled.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -51,47 +53,94 @@ def winnowed(words: Column, k: int = GRAM, span: int = WINDOW) -> Column:
     return F.transform(once, lambda p: F.struct((-p["back"]).alias("at"), p["hash"].alias("hash")))
 
 
-def find_windows(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """key, item_id, starts, span: where windows of items begin in documents (`key` stands for a row of docs).
+def item_windows(words: Column) -> Column:
+    """The distinct windows of an item as texts: runs of `WINDOW` words, of a shorter item all its words."""
+    at = F.sequence(F.lit(0), F.greatest(F.array_size(words) - WINDOW, F.lit(0)))
+    return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i + 1, WINDOW), " ")))
+
+
+def small_enough(df: DataFrame, size: Column) -> bool:
+    """Whether a table in the shared folder, measured in full, may be sent to every executor."""
+    return (df.agg(F.sum(size + 64)).first()[0] or 0) <= BROADCAST_BYTES
+
 
-    Items of `WINDOW` words or more meet the documents on winnowed fingerprints; each shared fingerprint is extended to
-    the windows around it and kept where all words agree. Shorter items are one window each; they meet the documents
-    on the hash of the whole window and agree word by word too.
+def find_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """key, place, win: where windows of items (key, text: docs; words, span: items) begin in documents.
+
+    `place` is 16 * first word + words of the window. Fingerprints of documents and items meet by hash; each that meets
+    is extended to the windows around it, and those are joined with the items' windows as texts. A row of fingerprints
+    or windows holds a key and a place but no words, and equal hashes and windows of items stand once, so that the work
+    grows with the length of texts, however often a gram repeats.
     """
-    items = items.select("item_id", words_of(F.col("text")).alias("item_words")).filter(F.array_size("item_words") > 0)
-    items = materialize(items.withColumn("m", F.least(F.array_size("item_words"), F.lit(WINDOW))))
-    facts = items.agg(F.sum(F.array_size("item_words")).alias("n"), F.sort_array(F.collect_set("m")).alias("spans")).first()
-    small = (facts["n"] or 0) * 100 <= BROADCAST_BYTES
-    found = None
-    for span in facts["spans"] or []:
-        k = GRAM if span == WINDOW else span
-        own = items.filter(F.col("m") == span).select("item_id", "item_words", F.explode(winnowed(F.col("item_words"), k, span)).alias("p"))
-        own = own.select("item_id", "item_words", F.col("p.at").alias("item_at"), F.col("p.hash").alias("hash"))
-        spread = docs.select("key", "words", F.explode(winnowed(F.col("words"), k, span)).alias("p")).select("key", "words", F.col("p.at").alias("at"), F.col("p.hash").alias("hash"))
-        met = spread.join(F.broadcast(own) if small else own, "hash")
-        # windows of the item around the gram: first word at item_at - shift
-        shifts = F.filter(F.sequence(F.lit(0), F.lit(span - k)), lambda s: (F.col("item_at") >= s) & (F.col("at") >= s) & (F.col("item_at") - s + span <= F.array_size("item_words")) & (F.slice("words", F.col("at") - s + 1, span) == F.slice("item_words", F.col("item_at") - s + 1, span)))
-        starts = F.transform(shifts, lambda s: F.col("at") - s)
-        part = met.select("key", "item_id", starts.alias("starts"), F.lit(span).alias("span")).filter(F.array_size("starts") > 0)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else docs.select("key", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.array().cast("array<int>").alias("starts"), F.lit(0).alias("span")).limit(0)
+    spans = sorted(r[0] for r in items.select("span").distinct().collect())  # ten numbers at most
+    k_of = {m: GRAM if m == WINDOW else m for m in spans}
+    none = docs.select("key", F.lit(0).cast("long").alias("place"), F.lit("").alias("win")).limit(0)
+    if not spans:
+        return none
+    prints = [items.filter(F.col("span") == m).select(F.lit(m).alias("span"), F.explode(F.transform(winnowed(F.col("words"), k, m), lambda p: p["hash"])).alias("hash")) for m, k in k_of.items()]
+    prints = materialize(reduce(DataFrame.unionByName, prints).distinct())
+
+    def prints_of(words: Column) -> Column:
+        def marked(m: int) -> Column:
+            return F.transform(winnowed(words, k_of[m], m), lambda p: F.struct((p["at"].cast("long") * 16 + m).alias("place"), F.lit(m).alias("span"), p["hash"].alias("hash")))
+
+        return F.concat(*map(marked, spans))
+
+    spread = docs.select("key", F.explode(let(words_of(F.col("text")), prints_of)).alias("p")).select("key", "p.place", "p.span", "p.hash")
+    met = spread.join(F.broadcast(prints) if small_enough(prints, F.lit(16)) else prints, ["span", "hash"])
+    met = materialize(met.groupBy("key").agg(F.collect_set("place").alias("places")))
+
+    def windows_at(words: Column) -> Column:
+        """The windows around the fingerprints' places, each once."""
+
+        def around(p: Column) -> Column:
+            at, m = F.floor(p / 16), p % 16
+            first = F.greatest(at - F.when(m == WINDOW, WINDOW - GRAM).otherwise(0), F.lit(0))
+            return F.transform(F.sequence(first, F.least(at, F.array_size(words) - m)), lambda s: s * 16 + m)
+
+        once = F.array_distinct(F.flatten(F.transform("places", around)))
+        return F.transform(once, lambda p: F.struct(p.alias("place"), F.array_join(F.slice(words, (F.floor(p / 16) + 1).cast("int"), (p % 16).cast("int")), " ").alias("win")))
+
+    asked = docs.join(F.broadcast(met) if small_enough(met, 8 * F.array_size("places")) else met, "key")
+    asked = asked.select("key", F.explode(let(words_of(F.col("text")), windows_at)).alias("w")).select("key", "w.place", "w.win")
+    known = materialize(items.select(F.explode(item_windows(F.col("words"))).alias("win")).distinct())
+    return asked.join(F.broadcast(known) if small_enough(known, F.octet_length("win")) else known, "win").select("key", "place", "win")
+
+
+def covered(places: Column) -> Column:
+    """How many words lie in windows, from their sorted places."""
+
+    def step(so_far: Column, p: Column) -> Column:
+        first, end = F.floor(p / 16), F.floor(p / 16) + p % 16
+        fresh = F.greatest(end - F.greatest(first, so_far["reach"]), F.lit(0).cast("long"))
+        return F.struct(F.greatest(end, so_far["reach"]).alias("reach"), (so_far["words"] + fresh).alias("words"))
+
+    zero = F.lit(0).cast("long")
+    return F.aggregate(places, F.struct(zero.alias("reach"), zero.alias("words")), step)["words"]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A word is hit if it lies in an occurrence of a window: ten consecutive words of an item, or all words of a shorter
-    one. Each distinct (doc_id, text) is judged once and repeated rows get the same result. Null or empty texts have no
-    words and are clean; null or wordless items have no windows; an empty benchmark leaves all clean; other columns
-    are ignored.
+    one. Texts may have any length and repeat any gram. Each distinct (doc_id, text) is judged once and repeated rows,
+    those without a doc_id too, get the same result. Null or empty texts have no words and are clean; null or wordless
+    items have no windows, items of equal words are all named; an empty benchmark leaves all clean; other columns are
+    ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    hits = find_windows(base.select("key", words_of(F.col("text")).alias("words")), benchmark)
-    per_doc = hits.groupBy("key").agg(
-        F.array_distinct(F.flatten(F.collect_set(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("span") - 1)))))).alias("places"),
-        F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    ).select("key", F.array_size("places").cast("long").alias("n_hit"), F.array_size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).filter(F.array_size("words") > 0)
+    items = materialize(items.select(F.col("item_id").cast("string").alias("item_id"), "words", F.sha2(F.array_join("words", " ").cast("binary"), 256).alias("said")))
+    sayings = items.select("said", "words", F.least(F.array_size("words"), F.lit(WINDOW)).alias("span")).dropDuplicates(["said"])
+    sayings = materialize(sayings)
+    hits = materialize(find_windows(base.select("key", "text"), sayings))
+    places = hits.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places")).select("key", covered(F.col("places")).alias("n_hit"))
+    said = sayings.select("said", F.explode(item_windows(F.col("words"))).alias("win"))
+    named = hits.select("key", "win").distinct().join(said, "win").select("key", "said").distinct().join(items.select("said", "item_id"), "said")
+    named = named.groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    named = named.select("key", F.array_size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    per_doc = places.join(named, "key")
     counted = base.select("doc_id", "key", F.regexp_count(ascii_lower(F.col("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long").alias("n_words"))
     return counted.join(per_doc, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
