@@ -1,18 +1,18 @@
 """Jaccard join on word shingles: T-occurrence search over inverted lists in the manner of DivideSkip.
 
 Two sets of a and b shingles reach the similarity 3/4 if they share T = ceil(3 (a + b) / 7) of them. All shingles are
-put in one order, rare ones (short lists) first and the most frequent ones (long lists) last. A pair that shares T
-shingles must share one among the first a - ceil(3 a / 4) + 1 of either, and the first one that it shares leaves room
-for T on both sides; so only these prefixes enter the inverted lists. Spark's shuffle merges the lists. Pairs that meet
-are decided on their whole sets: the short part is merged, and long lists are probed by binary search only as long as T
-can still be reached.
+put in one order, rare ones (short lists) first and the most frequent ones (long lists) last. Of a set's a lists the
+L = ceil(3 a / 4) - 1 last ones are set aside, so that a partner must occur in at least one of the others: only these
+enter the inverted lists, which Spark's shuffle merges. Of a pair the merged lists give the number of occurrences and
+the place of the last one; if that number and all lists behind that place together don't reach T, the pair goes. For
+those that remain the rest is merged on whole sets, and long lists are probed by binary search as long as T is in reach.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, most_frequent, partitions
@@ -40,7 +40,8 @@ def signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def survey(parts):
-    """A row for each document (doc_id, n, s1, s2), and (shingle, seen) for shingles that a batch has more than once."""
+    """A row for each document (doc_id, hash of the text if it has no id, n, s1, s2), and (shingle, seen) for shingles
+    that a batch has more than once."""
     for p in parts:
         rows, sets, known = [], [], set()
         for at, raws in chunks(list(p["text"])):
@@ -51,10 +52,10 @@ def survey(parts):
                     known.add((s1, s2))
                     sets.append(s)
         n, s1, s2 = (np.array(x, np.int64) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
-        yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "n": n, "s1": s1, "s2": s2, "shingle": pd.array([pd.NA] * len(n), "Int64"), "seen": 0})
+        yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "nameless": p["nameless"].to_numpy(), "said": p["said"].to_numpy(), "n": n, "s1": s1, "s2": s2, "shingle": pd.array([pd.NA] * len(n), "Int64"), "seen": 0})
         u, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64),) * 2
         u, c = u[c > 1], c[c > 1]
-        yield pd.DataFrame({"doc_id": pd.array([pd.NA] * len(u), "Int64"), "n": 0, "s1": 0, "s2": 0, "shingle": u, "seen": c})
+        yield pd.DataFrame({"doc_id": 0, "nameless": False, "said": 0, "n": 0, "s1": 0, "s2": 0, "shingle": u, "seen": c})
 
 
 def ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
@@ -105,9 +106,12 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     of each other; rows with a null doc_id take part with a null id. Class numbers of 64 bits name the sets in lists.
     """
     spark = docs.sparkSession
-    both = materialize(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, s1 long, s2 long, shingle long, seen long"))
-    known = both.filter("shingle is null").select("doc_id", "n", "s1", "s2")
-    classes = materialize(known.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")))
+    nameless = F.col("doc_id").isNull()
+    said = F.when(nameless, F.xxhash64("text")).otherwise(0).alias("said")
+    marked = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), nameless.alias("nameless"), said, "text")  # pandas would make floats of longs with nulls
+    both = materialize(marked.mapInPandas(survey, "doc_id long, nameless boolean, said long, n long, s1 long, s2 long, shingle long, seen long"))
+    known = both.filter("shingle is null").select(F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), F.when(F.col("nameless"), F.col("said")).alias("said"), "n", "s1", "s2")
+    classes = materialize(known.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first_id"), F.min("said").alias("said"), F.count(F.lit(1)).alias("n_copies")))
     seen = materialize(both.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter("seen >= 8"))
     top = most_frequent(seen, "seen", long_lists, 8).toPandas()  # long_lists rows at most
     top = top.sort_values("shingle")
@@ -173,11 +177,16 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     def room(a: str, a_pos: str, b: str, b_pos: str):
         return F.expr(f"least({a} - {a_pos}, {b} - {b_pos}) >= (3 * ({a} + {b}) + 6) div 7")
 
-    star = lists.filter("s1 != pivot").filter(room("n", "pos", "pivot_n", "pivot_pos")).groupBy("s1", "pivot").agg(F.count(F.lit(1)).alias("lists"))
-    first = star.groupBy("s1").agg(F.max(F.struct("lists", "pivot")).alias("best")).select(F.col("s1").alias("a"), F.col("best.pivot").alias("b"))
+    def pivots_of(own: DataFrame) -> DataFrame:
+        """a, b: for each member outside its lists' pivots the pivot that most of its lists name."""
+        star = own.filter("s1 != pivot").filter(room("n", "pos", "pivot_n", "pivot_pos")).groupBy("s1", "pivot").agg(F.count(F.lit(1)).alias("lists"))
+        return star.groupBy("s1").agg(F.max(F.struct("lists", "pivot")).alias("best")).select(F.col("s1").alias("a"), F.col("best.pivot").alias("b"))
 
-    wanted = lists.select("s1").union(lists.select("pivot")).distinct().join(classes, "s1").select("s1", F.col("first_id").alias("doc_id"))
-    texts = pack(docs, ["doc_id"]).join(wanted, "doc_id").select("s1", "packed")
+    wanted = lists.select("s1").union(lists.select("pivot")).distinct().join(classes, "s1").select("s1", F.col("first_id").alias("doc_id"), "said")
+    texts = pack(docs.filter("doc_id is not null"), ["doc_id"]).join(wanted.drop("said"), "doc_id").select("s1", "packed")
+    nameless = docs.filter("doc_id is null").select("text", F.xxhash64("text").alias("said"))  # met by their text
+    nameless = pack(nameless, ["said"]).join(wanted.filter("doc_id is null").select("s1", "said"), "said").select("s1", "packed").dropDuplicates(["s1"])
+    texts = texts.unionByName(nameless)
 
     def own_class(parts):
         """Only rows whose text has the set that is asked for: an id may repeat with other texts."""
@@ -211,14 +220,34 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         two = one.join(texts.select(F.col("s1").alias("b"), F.col("packed").alias("packed_b")), "b")
         return two.select("a", "b", "packed_a", "packed_b").mapInPandas(decide, "a long, b long").distinct()
 
-    links = materialize(verified(first))
+    links = materialize(verified(pivots_of(lists)))
     labels = connected_components(links)
-    joined = lists.select("shingle", "s1", "n", "pos", "pivot").join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("label", F.coalesce("label", "s1"))
-    joined = joined.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left").withColumn("out", F.col("label") != F.coalesce("pivot_label", "pivot"))
-    joined = materialize(joined.select("shingle", "s1", "n", "pos", "label", "out"))
-    left = joined.filter("out").select("shingle", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label")])
-    met = left.join(joined, "shingle").filter("u_label != label").filter(room("u_n", "u_pos", "n", "pos"))
-    more = met.select(F.least("u_s1", "s1").alias("a"), F.greatest("u_s1", "s1").alias("b")).distinct()
+
+    def beside(own: DataFrame) -> DataFrame:
+        """own, each row with its `label` and whether it is `out` of its pivot's component."""
+        told = own.join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("label", F.coalesce("label", "s1"))
+        told = told.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
+        return materialize(told.withColumn("out", F.col("label") != F.coalesce("pivot_label", "pivot")).drop("pivot_label"))
+
+    # those outside get a pivot among themselves, so that a second group of copies in a list isn't paired either
+    outside = beside(lists).filter("out").select("shingle", "s1", "n", "pos")
+    pivots = outside.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
+    links = links.unionByName(materialize(verified(pivots_of(outside.join(pivots, "shingle")))))
+    labels = connected_components(links)
+    joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
+
+    # Of a pair the larger set (or the later of equal ones) asks, the other one stands in the list. Among sets no smaller
+    # T is at least 6/7 of the one that stands; so either role has a prefix of its own, few of a hot list have the second
+    # role, and sizes that can't meet never do: a set of n asks in the classes of sizes from 3 n / 4 to n.
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / float(np.log(4 / 3)))
+
+    asks = joined.filter("n - pos >= (3 * n + 3) div 4").withColumn("sizes", F.explode(F.sequence(size_class(F.expr("(3 * n + 3) div 4")), size_class(F.col("n")))))
+    asks = asks.select("shingle", "sizes", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label", "out")])
+    stands = joined.filter("n - pos >= (6 * n + 6) div 7").withColumn("sizes", size_class(F.col("n")))
+    met = asks.join(stands, ["shingle", "sizes"]).filter("(out or u_out) and u_label != label and (u_n > n or u_n = n and u_s1 > s1)").filter(room("u_n", "u_pos", "n", "pos"))
+    merged = met.groupBy("u_s1", "s1", "u_n", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("u_pos").alias("u_pos"), F.max("pos").alias("pos"))
+    more = merged.filter("shared + least(u_n - u_pos, n - pos) - 1 >= (3 * (u_n + n) + 6) div 7").select(F.col("u_s1").alias("a"), F.col("s1").alias("b"))
     links = links.unionByName(materialize(verified(more)))
     labels = connected_components(links)
     named = classes.join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("label", F.coalesce("label", "s1"))
