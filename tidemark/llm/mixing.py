@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from math import isqrt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, n_words, with_global_rank
 
 #: Fractional part of the golden ratio: its multiples fill the unit interval evenly.
 GOLDEN = 0.6180339887498949
+#: A slot's number is split at 2^25 and both parts are multiplied on their own, so that points keep nine digits at any
+#: number of slots; this is the fractional part of 2^25 times the golden ratio.
+SPLIT, GOLDEN_HIGH = 1 << 25, (((isqrt(5 << 200) - (1 << 100)) << 24) % (1 << 100)) / (1 << 100)
+#: Words of a block at most.
+BLOCK = 32
 #: Cells of the unit interval by which points find their source.
 CELLS = 1024
 
@@ -33,61 +40,65 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), ma
     return ranked.withColumn("target", F.least("cap", F.col("weight") * level)).drop("weight", "cap")
 
 
-def schedule(plan: DataFrame, total: int, block: int) -> DataFrame:
-    """idx, need -> idx, rank: the slots of each source, ranked in schedule order; exactly `need` slots a source.
+def point(slot: Column) -> Column:
+    """frac(slot * golden ratio)."""
+    u = F.floor(slot / SPLIT) * GOLDEN_HIGH + (slot % SPLIT) * GOLDEN
+    return u - F.floor(u)
+
+
+def schedule(parts: DataFrame) -> DataFrame:
+    """idx, need (blocks that a source should give; any real number) -> slot, idx, rank: the slots of each source.
 
-    Slot i goes to the source in whose part of the cumulative targets the point frac(i * golden ratio) falls. The
-    points fill every part to within a few slots; ranks beyond `need` are left out and missing ones follow at the end.
+    There are as many slots as all needs together. A slot goes to the source in whose part of the cumulative needs its
+    point falls; `rank` numbers a source's slots in their order, from 0. Golden-ratio points leave every part, and every
+    run of slots of a source, within a few slots of its share.
     """
-    spark = plan.sparkSession
-    parts = with_global_rank(plan, [F.col("idx")], F.col("target")).select("idx", F.col("before").alias("low"), (F.col("before") + F.col("target")).alias("high"))
-    parts = parts.filter("high > low").select("idx", (F.col("low") / total).alias("low"), (F.col("high") / total).alias("high"))
-    cells = parts.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))))
-    points = spark.range(-(-total // block)).withColumn("u", F.col("id") * GOLDEN - F.floor(F.col("id") * GOLDEN))
-    points = points.withColumn("cell", F.floor(F.col("u") * CELLS))
-    slots = points.join(cells, "cell").filter("u >= low and u < high").select("idx", F.col("id").alias("slot"))
+    spark = parts.sparkSession
+    parts = parts.select("idx", F.round(F.col("need") * 1024).cast("long").alias("need")).filter("need > 0")  # sums of whole numbers are equal in every run
+    laid = materialize(with_global_rank(parts, [F.col("idx")], F.col("need")).select("idx", F.col("before").alias("low"), (F.col("before") + F.col("need")).alias("high")))
+    total = laid.agg(F.max("high")).first()[0] or 0
+    bounds = laid.select("idx", (F.col("low") / total).alias("low"), (F.col("high") / total).alias("high"))
+    cells = bounds.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)))))
+    points = spark.range(-(-total // 1024)).select(F.col("id").alias("slot"), point(F.col("id")).alias("u")).withColumn("cell", F.floor(F.col("u") * CELLS))
+    slots = points.join(cells, "cell").filter("u >= low and u < high").select("idx", "slot")
     ranked = materialize(with_global_rank(slots, [F.col("idx"), F.col("slot")]).select("idx", "slot", "rank"))
-    first = ranked.groupBy("idx").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
-    heads = plan.select("idx", "need").join(first, "idx", "left")
-    inside = ranked.join(heads, "idx").withColumn("rank", F.col("rank") - F.col("first")).filter("rank < need").select("idx", "rank", "slot")
-    missing = heads.filter("need > coalesce(n, 0)").select("idx", F.explode(F.sequence(F.coalesce("n", F.lit(0)), F.col("need") - 1)).alias("rank"), F.lit(None).cast("long").alias("slot"))
-    return inside.unionByName(missing)
+    first = ranked.groupBy("idx").agg(F.min("rank").alias("first"))  # a row for each source
+    return ranked.join(first, "idx").select("slot", "idx", (F.col("rank") - F.col("first")).alias("rank"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_repeat: float = 3.0, block_words: int = 256, max_slots: int = 1 << 22, seed: int = 17) -> DataFrame:
+def block_of(word: Column) -> Column:
+    """The block in which a word of a source's stream lies: the first `longer` blocks have a word more than `length`."""
+    long_part = F.col("longer") * (F.col("length") + 1)
+    return F.when(word < long_part, F.floor(word / (F.col("length") + 1))).otherwise(F.col("longer") + F.floor((word - long_part) / F.greatest("length", F.lit(1))))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_repeat: int = 3, block_words: int = BLOCK, seed: int = 17) -> DataFrame:
     """A row for each row of docs: doc_id, size, source_size, target, taken (words that the mix takes of it).
 
-    Each source's documents are shuffled by a hash of doc_id and laid end to end; the stream is cut into blocks of
-    equal numbers of words and repeated. The slots that the schedule gives a source take its blocks in turn until its
-    target is reached, so that a document is taken whole once before any part is taken twice. Blocks have `block_words`
-    words, fewer where a small source's target would be less than 64 blocks, more where the mix would need over
-    `max_slots` slots. No limit needs a source or document to fit into a task. Null texts and documents without words
-    have size 0 and are taken 0 times; a null source is a source; repeated rows count each; an empty table gives an
-    empty result; other columns are ignored.
+    Each source's documents are shuffled by a hash of doc_id and laid end to end, and the stream is cut into equal
+    blocks of at most `block_words` words (lengths differ by one). A source needs its target over its block length; the
+    slots that the schedule gives it take its blocks in turn, so that a document is taken whole once before any part is
+    taken twice, and none more than `max_repeat` times. What a source gives is what its slots take: it differs from the
+    target by the schedule's discrepancy, a few blocks, whatever the sizes. No source or document needs to fit into a
+    task. Null texts and documents without words have size 0 and are taken 0 times; a null source is a source; rows
+    with equal ids, or none, are rows of their own; an empty table gives an empty result; other columns are ignored.
     """
     sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
-    sources = targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, max_repeat)
-    sources = materialize(sources)
-    facts = sources.agg(F.sum("source_size").alias("total"), F.min(F.when(F.col("target") > 0, F.col("target"))).alias("least")).first()
-    total = facts["total"] or 0
-    block = max(1, -(-total // max_slots), min(block_words, int((facts["least"] or 0) // 64)))
-    # words to take: whole passes over the source and a rest, in blocks
-    plan = sources.withColumn("limit", F.least(F.round("target").cast("long"), F.col("source_size") * int(max_repeat))).withColumn("n_blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
-    plan = materialize(plan.withColumn("need", F.expr(f"case when source_size > 0 then (limit div source_size) * n_blocks + (limit % source_size + {block - 1}) div {block} else 0L end")))
-    slots = schedule(plan.select("idx", "target", "need"), total, block)
-    keys = plan.select("idx", "source_size", "limit", "n_blocks")
-    cut = slots.join(keys, "idx").withColumn("block", F.expr("rank % n_blocks")).withColumn("past", F.expr("(rank div n_blocks) * source_size"))
-    length = F.least(F.lit(block), F.col("source_size") - F.col("block") * block)
-    words = F.least(length, F.col("limit") - F.col("past") - F.col("block") * block)
-    taken = cut.withColumn("length", length).withColumn("words", words).groupBy("idx", "block").agg(F.sum((F.col("words") == F.col("length")).cast("long")).alias("full"), F.max(F.when(F.col("words") < F.col("length"), F.col("words")).otherwise(0)).alias("part"))
-
-    named = sized.join(F.broadcast(plan) if plan.count() <= 10_000 else plan, sized["source"].eqNullSafe(plan["source"])).select("doc_id", "size", "idx", "source_size", "target")
+    sources = targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, float(max_repeat))
+    plan = sources.withColumn("n_blocks", F.expr(f"(source_size + {block_words - 1}) div {block_words}"))
+    plan = plan.withColumn("length", F.expr("case when n_blocks > 0 then source_size div n_blocks else 0L end")).withColumn("longer", F.expr("source_size - length * n_blocks"))
+    plan = materialize(plan)
+    slots = schedule(plan.select("idx", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0).alias("need")))
+    taken = slots.join(plan.select("idx", "n_blocks"), "idx").filter(F.col("rank") < F.col("n_blocks") * max_repeat)
+    taken = taken.groupBy("idx", F.expr("rank % n_blocks").alias("block")).agg(F.count(F.lit(1)).alias("times"))
+
+    named = sized.join(F.broadcast(plan) if plan.count() <= 10_000 else plan, sized["source"].eqNullSafe(plan["source"])).select("doc_id", "size", "idx", "source_size", "target", "length", "longer")
     streams = with_global_rank(named, [F.col("idx"), F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.col("size")], F.col("size"))
-    starts = with_global_rank(sources.select("idx", "source_size"), [F.col("idx")], F.col("source_size")).select("idx", F.col("before").alias("base"))
+    starts = with_global_rank(plan.select("idx", "source_size"), [F.col("idx")], F.col("source_size")).select("idx", F.col("before").alias("base"))
     laid = materialize(streams.join(starts, "idx").withColumn("start", F.col("before") - F.col("base")).withColumn("end", F.col("start") + F.col("size")))
-    pieces = laid.filter("size > 0").select("rank", "idx", "start", "end", F.explode(F.expr(f"sequence(start div {block}, (end - 1) div {block})")).alias("block"))
-    at = F.col("block") * block
-    own_start, own_end = F.greatest("start", at), F.least("end", at + block)
-    worth = F.col("full") * (own_end - own_start) + F.greatest(F.lit(0), F.least(own_end, at + F.col("part")) - own_start)
-    sums = pieces.join(taken, ["idx", "block"]).groupBy("rank").agg(F.sum(worth).alias("taken"))
+    pieces = laid.filter("size > 0").withColumn("block", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("end") - 1))))
+    at = F.col("block") * F.col("length") + F.least("block", "longer")
+    after = at + F.col("length") + F.when(F.col("block") < F.col("longer"), 1).otherwise(0)
+    pieces = pieces.select("rank", "idx", "block", (F.least("end", after) - F.greatest("start", at)).alias("words"))
+    sums = pieces.join(taken, ["idx", "block"]).groupBy("rank").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return laid.join(sums, "rank", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
