@@ -1,4 +1,4 @@
-"""Hilbert-curve sharding: documents that are alike in source, language and size lie in few shards."""
+"""Hilbert-curve sharding: documents that are alike in source, language and size lie in few shards, copies in one."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_global_rank
+from .common import materialize, with_global_rank
 
 #: Bits for each metadata dimension.
 BITS = 5
@@ -49,7 +49,10 @@ def hilbert_index(axes: list[Column], bits: int = BITS) -> Column:
 
 
 def metadata_cells(docs: DataFrame, size: Column) -> list[Column]:
-    """Source and language by hash, size on a scale of half octaves: equal values share a cell, whatever the data."""
+    """Source and language by hash, size on a scale of half octaves: equal values share a cell, whatever the data.
+
+    With more than 32 sources some share a cell; that costs pruning, not results.
+    """
     top = (1 << BITS) - 1
 
     def name(c: str) -> Column:
@@ -59,28 +62,34 @@ def metadata_cells(docs: DataFrame, size: Column) -> list[Column]:
     return [name("source"), name("lang"), F.least(F.greatest(F.floor(F.log2(size.cast("double")) * 2).cast("int") - 8, F.lit(0)), F.lit(top))]
 
 
-def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 40, whole_group: float = 0.05) -> DataFrame:
     """A row for each row of docs: doc_id, size, text_crc32, law, shard, slot, grown_shard, hilbert.
 
-    Size is the UTF-8 length of the text plus 16 (null texts: 16). The rows are put in the order of Hilbert index, text
-    checksum and doc_id, so that equal texts with equal metadata are neighbours, and the run of bytes is cut into
-    `n_shards` equal parts; a row goes where its middle lies. Sizes so differ from the mean by at most one document at
-    each end (law `bytes`). Slots count the rows of a shard in curve order. A hot source, language or group of copies
-    spreads over as many shards as its bytes need. Repeated rows keep their own slots, an empty table gives an empty
-    result, other columns of docs are ignored.
+    Size is the UTF-8 length of the text plus 16 (null texts: 16). Equal texts are a group; it stands at the smallest
+    Hilbert index of its rows (`hilbert`). Groups follow the curve, rows of a group the doc_id, and the run of bytes is
+    cut into `n_shards` equal parts (law `bytes`). A group of at most `whole_group` of a part goes whole where its
+    middle lies, so that copies meet in one shard; larger ones, null texts among them, are cut like the rest, row by row
+    where the row's middle lies, into as few shards as their bytes need. Sizes so differ from the mean by less than one
+    such group or document at each end. Slots count the rows of a shard in curve order. Rows without a doc_id come
+    first in their group; repeated rows keep their own slots, an empty table gives an empty result, other columns of
+    docs are ignored.
     """
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
-    base = docs.select(
-        "doc_id",
-        size.alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        hilbert_index(metadata_cells(docs, size)).alias("hilbert"),
-    )
-    ranked = with_global_rank(base, [F.col("hilbert"), F.col("text_crc32"), F.col("doc_id")], F.col("size"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    base = materialize(docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64("text").alias("text_hash"), hilbert_index(metadata_cells(docs, size)).alias("hilbert")))
     total = base.agg(F.sum("size")).first()[0] or 1
-    cut = F.expr(f"cast(least(((2 * before + size) * {n_shards}) div (2 * {total}), {n_shards - 1}) as int)")
-    ranked = ranked.withColumn("shard", cut)
+    group = ["text_hash", "text_crc32", "size"]
+    groups = base.groupBy(group).agg(F.min("hilbert").alias("at"), (F.count(F.lit(1)) * F.col("size")).alias("bytes"))
+    groups = with_global_rank(groups, [F.col("at"), *map(F.col, group)], F.col("bytes")).select(*group, "at", "bytes", F.col("before").alias("group_before"))
+    placed = base.drop("hilbert").join(groups, group)
+    ranked = with_global_rank(placed, [F.col("at"), *map(F.col, group), F.col("doc_id")], F.col("size"))
+
+    def part(before: str, own: str) -> Column:
+        return F.expr(f"cast(least(((2 * {before} + {own}) * {n_shards}) div (2 * {total}), {n_shards - 1}) as int)")
+
+    whole = F.col("bytes") <= int(total * whole_group / n_shards)
+    ranked = ranked.withColumn("shard", F.when(whole, part("group_before", "bytes")).otherwise(part("before", "size")))
     starts = ranked.groupBy("shard").agg(F.min("rank").alias("first_rank"))
     return ranked.join(F.broadcast(starts), "shard").select(  # a row for each shard
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("rank") - F.col("first_rank")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert"
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("rank") - F.col("first_rank")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("at").alias("hilbert")
     )
