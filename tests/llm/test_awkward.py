@@ -55,6 +55,15 @@ def test_null_ids_are_rows_like_others(spark, awkward):
         assert run(df).count() == 2, name
 
 
+def test_substrings_without_an_id_come_last(spark):
+    w = [f"w{i}" for i in range(60)]
+    docs = [(None, ["a", *w]), (None, [*w, "b"]), (4, [*w, "c"]), (None, [f"v{i}" for i in range(30)]), (None, [f"v{i}" for i in range(30)])]
+    got = substrings.deduplicate(spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id long, text string")).collect()
+    assert sorted((r["text"], r["n_removed"]) for r in got if r["n_words"] == 61) == [("a", 60), ("b", 60), (" ".join([*w, "c"]), 0)]
+    assert [(r["doc_id"], r["n_removed"]) for r in got if r["n_words"] == 30] == [(None, 0)] * 2  # equal rows are one document
+    assert all(f[1] == 60 and f[2] in (4, None) for r in got for f in r["factors"])
+
+
 def test_pages(spark):
     html = "<html><body><nav><ul><li><a href=x>Home</a></li></ul></nav><article><h1>T &amp; U</h1><p>One\n two<p>Three<br>four</article><footer>f</footer></body></html>"
     df = spark.createDataFrame([(1, "http://a/x", html, 1), (1, "http://a/x", html, 1), (2, None, None, 2), (3, "nonsense", "", 3), (4, "http://b/", "plain & simple", 4)], "page_id long, url string, html string, text int")

@@ -157,6 +157,28 @@ def test_substrings_inside_one_document_and_names_of_places(spark):
     assert rows[1]["n_removed"] == 0 and rows[2]["text"] == "x y" and rows[2]["spans"] == [[0, 30], [31, 61], [62, 92]] and rows[3]["n_removed"] == 49
 
 
+def test_factors_name_earlier_places(spark, corpus, texts):
+    split = {k: t.encode().split() for k, t in texts}
+    n = 0
+    for r in substrings.deduplicate(corpus).collect():
+        end = 0
+        for at, size, ref, ref_at in r["factors"]:
+            assert size >= 20 and at > end - 20 and at + size > end and (ref, ref_at) < (r["doc_id"], at)
+            assert split[r["doc_id"]][at : at + size] == split[ref][ref_at : ref_at + size]
+            end, n = at + size, n + 1
+        cover = {i for at, size, _, _ in r["factors"] for i in range(at, at + size)}
+        assert cover == {i for a, b in r["spans"] for i in range(a, b)} and len(cover) == r["n_removed"]
+    assert n > 20
+
+
+def test_greedy_parse_takes_the_longest_and_checks_seams():
+    run = lambda at, n, ref: {"at": at, "n": n, "ref": ref, "ref_at": 100 + at}
+    assert substrings.factors([]) == []
+    assert substrings.factors([run(0, 3, 1), run(2, 30, 2), run(60, 1, 3)]) == [(0, 22, 1, 100), (22, 29, 2, 122), (60, 20, 3, 160)]
+    assert substrings.factors([run(0, 5, 1), run(10, 2, 2), run(24, 1, 4), run(90, 1, 3)]) == [(0, 24, 1, 100), (24, 20, 4, 124), (90, 20, 3, 190)]
+    assert substrings.factors([run(0, 5, 1), run(10, 2, 2)]) == [(0, 24, 1, 100), (10, 21, 2, 110)]
+
+
 def test_language_model(spark, texts):
     got, order = run(spark, "op8_partial_matching"), language_model.ORDER
     seen, counts, n = Counter(), [defaultdict(Counter) for _ in range(order + 1)], 0

@@ -4,7 +4,8 @@ Every document is factored against all earlier text: a factor is a run of words
 least WINDOW words is a duplicate span. The reference is indexed by winnowed grams: of the GRAM-word grams in a window
 the smallest hash is its anchor, so equal windows have equal anchors. Anchors route windows to the block of the index
 that holds all windows with that anchor; there each window finds its first place, and windows that follow each other
-both here and there join to factors. Windows over the seam of two factors are looked up like all others.
+both here and there extend to a match. A document's matches from all blocks are then parsed greedily, longest first from
+left to right, and windows over the seam of two factors are checked, so that a cut loses none.
 """
 
 from __future__ import annotations
@@ -181,41 +182,72 @@ def repeated_runs(docs: DataFrame, first: DataFrame, split_anchors: int = SPLIT_
     return blocks.mapInPandas(look_up, FOUND)
 
 
+def factors(runs: list) -> list[tuple[int, int, int, int]]:
+    """Greedy parse: (first word, words, ref, first word there) for factors of at least WINDOW words, left to right.
+
+    runs: (at, n, ref, ref_at) as of repeated_runs. From where the last factor ends the longest one that begins there is
+    taken. At a seam where none begins, windows across it are factors too: the one that reaches farthest is taken from
+    the first of its windows that ends behind the seam. Words that no factor reaches stay literal. Factors so cover
+    every window that repeats.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    end, best, reach = -1, None, -1
+    for r in [*sorted((r["at"], r["n"], r["ref"], r["ref_at"]) for r in runs), None]:
+        while best is not None and reach > end and (r is None or r[0] > end):  # all that begin at or before the seam are known
+            at, n, ref, ref_at = best
+            start = end if at <= end < at + n else max(at, end - WINDOW + 1)
+            out.append((start, reach - start, ref, ref_at + start - at))
+            end = reach
+        if r is not None:
+            if r[0] > end:
+                end = r[0]  # literals up to here
+            if r[0] + r[1] + WINDOW - 1 > reach:
+                best, reach = r, r[0] + r[1] + WINDOW - 1
+    return out
+
+
+#: Stands for a null doc_id: such documents come last.
+NAMELESS = (1 << 63) - 1
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256, text, spans.
+    """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256, text, spans, factors.
 
     A word goes if a window of 20 words that covers it also starts earlier: in a document with a smaller doc_id, or
-    earlier in the same one; windows are judged on the input. `text` holds the kept words joined by one space, `spans`
-    the removed runs (first word, words). Of equal texts all but the first go whole (if they have a window). Rows equal
-    in doc_id and text are one document and share its result; rows with equal doc_id and other texts are ordered by a
-    hash of the text. Null and empty texts have no words; texts without a window stay whole; other columns are ignored.
+    earlier in the same one; windows are judged on the input. `factors` are the factors of at least 20 words of the
+    greedy parse (first word, words, doc_id of the earlier place, first word there), `spans` the removed runs (first
+    word, end), `text` holds the kept words joined by one space. Of equal texts all but the first go whole (if they have
+    a window). Rows equal in doc_id and text are one document and share its result; rows with equal doc_id and other
+    texts are ordered by a hash of the text. Rows without a doc_id come after all others. Null and empty texts have no
+    words; texts without a window stay whole; other columns are ignored.
     """
-    base = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    base = docs.select(F.coalesce("doc_id", F.lit(NAMELESS)).cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     ids = materialize(base.select("doc_id", "text_hash").distinct())
     first = ids.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
-    status = materialize(ids.join(first, "text_hash").withColumn("copy", ~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text_hash", "copy"))
+    status = materialize(ids.join(first, "text_hash"))
     runs = repeated_runs(base, first)
-    runs = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    runs = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n", "ref", "ref_at")).alias("runs"))
     own = status.join(runs, ["doc_id", "text_hash"], "left")
-    told = base.join(own, (base["doc_id"].eqNullSafe(own["doc_id"])) & (base["text_hash"] == own["text_hash"])).select(base["doc_id"], "text", "copy", "runs")
+    told = base.join(own, ["doc_id", "text_hash"]).select("doc_id", "text", "first_id", "runs")
 
     def cut(parts):
         for p in parts:
             out = []
-            for text, copy, runs in zip(p["text"], p["copy"], p["runs"]):
+            for doc_id, text, first_id, runs in zip(p["doc_id"].tolist(), p["text"], p["first_id"].tolist(), p["runs"]):
                 words = (text or "").encode("utf-8", "replace").split()
-                gone = np.zeros(len(words) + 1, np.int64)
-                if copy and len(words) >= WINDOW:
-                    gone[0], gone[-1] = 1, -1
-                elif runs is not None:
-                    for r in runs:
-                        gone[r["at"]] += 1
-                        gone[r["at"] + r["n"] + WINDOW - 1] -= 1
-                covered = np.cumsum(gone[:-1]) > 0
-                kept = b" ".join(w for w, c in zip(words, covered) if not c)
-                edges = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0]))
-                out.append((len(words), int(covered.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace"), edges.reshape(-1, 2).tolist()))
-            cols = list(zip(*out)) if out else [[]] * 5
-            yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "n_words": cols[0], "n_removed": cols[1], "kept_sha256": cols[2], "text": cols[3], "spans": cols[4]})
-
-    return told.mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, text string, spans array<array<long>>")
+                if doc_id != first_id:
+                    found = [(0, len(words), first_id, 0)] if len(words) >= WINDOW else []
+                else:
+                    found = factors(runs) if runs is not None else []
+                gone = np.zeros(len(words), bool)
+                for at, n, _, _ in found:
+                    gone[at : at + n] = True
+                kept = b" ".join(w for w, c in zip(words, gone) if not c)
+                edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
+                named = [(at, n, None if ref == NAMELESS else ref, ref_at) for at, n, ref, ref_at in found]
+                out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace"), edges.reshape(-1, 2).tolist(), named))
+            cols = list(zip(*out)) if out else [[]] * 6
+            yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "n_words": cols[0], "n_removed": cols[1], "kept_sha256": cols[2], "text": cols[3], "spans": cols[4], "factors": cols[5]})
+
+    done = told.mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, text string, spans array<array<long>>, factors array<array<long>>")
+    return done.withColumn("doc_id", F.when(F.col("doc_id") != NAMELESS, F.col("doc_id")))
