@@ -185,14 +185,22 @@ def repeated_runs(docs: DataFrame, first: DataFrame, split_anchors: int = SPLIT_
 def factors(runs: list) -> list[tuple[int, int, int, int]]:
     """Greedy parse: (first word, words, ref, first word there) for factors of at least WINDOW words, left to right.
 
-    runs: (at, n, ref, ref_at) as of repeated_runs. From where the last factor ends the longest one that begins there is
+    runs: (at, n, ref, ref_at) as of repeated_runs, in pieces by the block of the index that they were found in; pieces
+    that go on both here and there are extended to one match. From where the last factor ends the longest one that begins there is
     taken. At a seam where none begins, windows across it are factors too: the one that reaches farthest is taken from
     the first of its windows that ends behind the seam. Words that no factor reaches stay literal. Factors so cover
     every window that repeats.
     """
+    matches: list[list[int]] = []
+    for ref, ahead, at, n in sorted((r["ref"], r["ref_at"] - r["at"], r["at"], r["n"]) for r in runs):
+        last = matches[-1] if matches else None
+        if last and last[2:] == [ref, ahead] and at <= last[0] + last[1]:
+            last[1] = max(last[1], at + n - last[0])
+        else:
+            matches.append([at, n, ref, ahead])
     out: list[tuple[int, int, int, int]] = []
     end, best, reach = -1, None, -1
-    for r in [*sorted((r["at"], r["n"], r["ref"], r["ref_at"]) for r in runs), None]:
+    for r in [*sorted((at, n, ref, at + ahead) for at, n, ref, ahead in matches), None]:
         while best is not None and reach > end and (r is None or r[0] > end):  # all that begin at or before the seam are known
             at, n, ref, ref_at = best
             start = end if at <= end < at + n else max(at, end - WINDOW + 1)
