@@ -174,7 +174,7 @@ def test_factors_name_earlier_places(spark, corpus, texts):
 def test_greedy_parse_takes_the_longest_and_checks_seams():
     run = lambda at, n, ref: {"at": at, "n": n, "ref": ref, "ref_at": 100 + at}
     assert substrings.factors([]) == []
-    assert substrings.factors([run(13, 9, 4), run(5, 8, 4), run(40, 3, 4)]) == [(5, 36, 4, 105), (40, 22, 4, 140)]
+    assert substrings.factors([run(13, 9, 4), run(5, 8, 4), run(40, 3, 4)]) == [(5, 36, 4, 105), (41, 21, 4, 141)]
     assert substrings.factors([run(0, 3, 1), run(2, 30, 2), run(60, 1, 3)]) == [(0, 22, 1, 100), (22, 29, 2, 122), (60, 20, 3, 160)]
     assert substrings.factors([run(0, 5, 1), run(10, 2, 2), run(24, 1, 4), run(90, 1, 3)]) == [(0, 24, 1, 100), (24, 20, 4, 124), (90, 20, 3, 190)]
     assert substrings.factors([run(0, 5, 1), run(10, 2, 2)]) == [(0, 24, 1, 100), (10, 21, 2, 110)]

@@ -1,4 +1,4 @@
-"""Licence scan by canonical digests: whole texts, blocks and lines are looked up among known licence texts."""
+"""Licence scan by canonical digests: whole texts, blocks and lines are looked up among known digests."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 # Spellings that licence texts use for the same word.
 SPELLINGS = {"licence": "license", "licences": "licenses", "licenced": "licensed", "organisation": "organization", "authorisation": "authorization", "favour": "favor", "merchantibility": "merchantability", "noncommercial": "non commercial", "sub licence": "sublicense", "sub license": "sublicense", "per cent": "percent"}
 
@@ -30,23 +32,67 @@ KNOWN = [
     ("all-rights-reserved", "All rights reserved."),
 ]
 
+# SHA-256 of the canonical form of whole licence texts as they are published, by SPDX name.
+DIGESTS = [
+    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
+    ("Apache-2.0", "1d2490e65bade4b7cde700178105759a1eeb6ed401841c01b9ff35e40e55c5ad"),
+    ("Apache-2.0", "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
+    ("Artistic-1.0", "93aa47d57763801ed6e6a6591d4d4049a2c46794df90838023ceade56b569da0"),
+    ("BSD-2-Clause", "eda2ad636e738f6a26a2fea902bb734ee48c789a5b40035b8db3659bd951e5bc"),
+    ("BSD-2-Clause", "957c3854a3d72e069e7f5e48857ad9ab76135f14c70d60fa9ec6ef9a928d45dd"),
+    ("BSD-2-Clause", "9c47a682ef64c4e02c50c208384916c7f80087d4e4395b2b06e65a4c4b08b152"),
+    ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),
+    ("BSD-3-Clause", "eabe215ff5a2cf5b1c090915b7cabdf511f70fc79fb8fde85247ebe3038a9658"),
+    ("BSD-3-Clause", "cf77ee3d20f4076cecdb58fc53aa7204c9f5c0651621abbc85e028f5b2ffa6b4"),
+    ("BSD-3-Clause", "b6093f80a67d752fa17301d7c8f20fe906e6f11169f3a64f9a5816d148eb738f"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
+    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
+    ("GPL-1.0", "9caf042595280548f0149ac88169a7f2e04f35b2a642cf00b991f00d48bfa4ce"),
+    ("GPL-2.0", "c230c00f329737cb7ce3d97a266318b4c9d4c1fd321335e592b2ce1112179b88"),
+    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
+    ("ISC", "217da0747cec63a2e734185db11cbaa819bcd9e5b83cd12f812128fffe66e26a"),
+    ("LGPL-2.0", "b4114daa3dfa52e27e78b2c4e17acd58bf4381e812762f4ded0bcb8eabd1092c"),
+    ("LGPL-2.1", "294fb9ec58649c7eb0cf90fc2900ac1b28b82fb6da9d40d7599d6b7d399d4d2e"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+]
+
 #: A whole line that states who holds the copyright and since when.
 COPYRIGHT_LINE = r"(?im)^[^\n0-9A-Za-z]*(copyright|\(c\)|©)[^\n]*$"
-#: What stands between two blocks.
-BLANK_LINE = r"\n[ \t\r]*\n"
 
-
-def canonical(text: Column) -> Column:
-    """The text without copyright lines, in lower case, punctuation as spaces, one spelling, single spaces."""
-    text = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, " "))
-    text = F.concat(F.lit(" "), F.regexp_replace(text, r"[\x00-\x2F\x3A-\x60\x7B-\xBF]+", " "), F.lit(" "))
+def spelled(text: Column) -> Column:
+    """One spelling of each word; words are parted by single spaces."""
+    text = F.concat(F.lit(" "), text, F.lit(" "))
     for given, used in SPELLINGS.items():
         text = F.replace(text, F.lit(f" {given} "), F.lit(f" {used} "))
-    return F.trim(F.regexp_replace(text, " +", " "))
+    return F.trim(text)
+
+
+def canonical_units(text: Column) -> Column:
+    """The canonical forms of a text: (whole, units), units being its different blocks and lines; empty ones are none.
+
+    Copyright lines go, letters become small, punctuation becomes spaces, one spelling and single spaces stay. All that
+    but the spelling is done once for each line (only line feeds end one); blocks and the whole are put together from the
+    lines.
+    """
+    gap = F.lit("\n")
+
+    def plain(line: Column) -> Column:
+        words = F.regexp_replace(F.lower(F.regexp_replace(line, f"(?d){COPYRIGHT_LINE}", " ")), r"[\x00-\x2F\x3A-\x60\x7B-\xBF]+", " ")
+        return F.when(line.rlike(r"^[ \t\r]*$"), gap).otherwise(F.trim(words))
+
+    def put_together(lines: Column) -> Column:
+        said = F.filter(lines, lambda x: (x != "") & (x != gap))
+        blocks = F.filter(F.transform(F.split(F.array_join(lines, " "), "\n"), lambda b: F.trim(F.regexp_replace(b, " +", " "))), lambda b: b != "")
+        return F.struct(spelled(F.array_join(said, " ")).alias("whole"), F.array_distinct(F.transform(F.array_distinct(F.concat(said, blocks)), spelled)).alias("units"))
+
+    return let(F.transform(F.split(text, "\n"), plain), put_together)
 
 
 def canonical_text(text: str) -> str:
-    """canonical() for one text, for the known ones."""
+    """The canonical form of one whole text, for the known ones."""
     text = re.sub(COPYRIGHT_LINE, " ", text).lower()
     text = " " + re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\xBF]+", " ", text) + " "
     for given, used in SPELLINGS.items():
@@ -54,34 +100,37 @@ def canonical_text(text: str) -> str:
     return re.sub(" +", " ", text).strip(" ")
 
 
-def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:
+def listed_digests(known: list[tuple[str, str]], digests: list[tuple[str, str]]) -> dict[str, str]:
+    """digest -> licence; of licences with equal digests the first by name."""
+    names: dict[str, str] = {}
+    for name, digest in [*((name, hashlib.sha256(canonical_text(text).encode()).hexdigest()) for name, text in known), *digests]:
+        names[digest] = min(name, names.get(digest, name))
+    names.pop(hashlib.sha256(b"").hexdigest(), None)
+    return names
+
+
+def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, digests: list[tuple[str, str]] | None = None) -> DataFrame:
     """A row for each row of docs: doc_id, digest, licence, notices, n_notices.
 
     `digest` is the SHA-256 of the whole canonical text and `licence` the known licence with that digest (null if
-    none); `notices` are the sorted licences of its blocks (between blank lines) and lines. Of licences with equal
-    digests the first by name counts. Null texts count as empty; empty texts match nothing; repeated rows keep their own
-    results; an empty table gives an empty result; other columns are ignored.
+    none); `notices` are the sorted licences of its blocks (between blank lines) and lines, of any length. `known` gives
+    licences by text, `digests` by the digest of their canonical text. Null texts count as empty; empty texts match
+    nothing; repeated rows keep their own results, and so do rows without a doc_id; an empty table gives an empty
+    result; other columns are ignored.
     """
     spark = docs.sparkSession
-    names: dict[str, str] = {}
-    for name, text in known if known is not None else KNOWN:
-        digest = hashlib.sha256(canonical_text(text).encode()).hexdigest()
-        names[digest] = min(name, names.get(digest, name))
-    names.pop(hashlib.sha256(b"").hexdigest(), None)
+    names = listed_digests(KNOWN if known is None else known, DIGESTS if digests is None else digests)
     listed = F.broadcast(spark.createDataFrame(sorted(names.items()), "digest string, name string"))  # a fixed list
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("key"))
 
-    def sha(c: Column) -> Column:
-        return F.sha2(canonical(c).cast("binary"), 256)
-
-    units = F.array_distinct(F.concat(F.split("text", BLANK_LINE), F.split("text", "\n")))
-    rest = F.filter(units, lambda u: (F.length(u) > 0) & (u != F.col("text")))  # of any length: copyright lines and rules go
-    found = base.select("key", F.explode(rest).alias("unit")).withColumn("digest", sha(F.col("unit"))).join(listed, "digest")
-    notices = found.groupBy("key").agg(F.collect_set("name").alias("notices"))
-    one_block = ~F.col("text").rlike(BLANK_LINE)  # the text is a block of its own, with the digest of the whole
-    whole = base.select("doc_id", "key", one_block.alias("one_block"), sha(F.col("text")).alias("digest")).join(listed, "digest", "left")
-    none = F.array().cast("array<string>")
-    own = F.when(F.col("one_block") & F.col("name").isNotNull(), F.array("name")).otherwise(none)
-    said = whole.join(notices, "key", "left").withColumn("notices", F.sort_array(F.array_union(F.coalesce("notices", none), own)))
-    return said.select("doc_id", "digest", F.col("name").alias("licence"), F.array_join("notices", ",").alias("notices"), F.array_size("notices").cast("long").alias("n_notices"))
+    def marked(c: Column) -> Column:
+        return F.concat(F.array(F.struct(F.lit(True).alias("whole"), c["whole"].alias("said"))), F.transform(c["units"], lambda u: F.struct(F.lit(False).alias("whole"), u.alias("said"))))
+
+    units = base.select("doc_id", "key", F.explode(let(canonical_units(F.col("text")), marked)).alias("unit"))
+    looked_up = units.select("doc_id", "key", "unit.whole", F.sha2(F.col("unit.said").cast("binary"), 256).alias("digest")).join(listed, "digest", "left").filter("whole or name is not null")
+    told = looked_up.groupBy("doc_id", "key").agg(
+        F.max(F.when(F.col("whole"), F.col("digest"))).alias("digest"), F.max(F.when(F.col("whole"), F.col("name"))).alias("licence"),
+        F.sort_array(F.collect_set(F.when(~F.col("whole"), F.col("name")))).alias("notices"), F.count(F.when(F.col("whole"), 1)).alias("rows"),
+    ).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))  # equal rows were looked up together
+    return told.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"), F.array_size("notices").cast("long").alias("n_notices"))

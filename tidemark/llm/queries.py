@@ -74,10 +74,11 @@ def op7_sql() -> str:
             c = f"replace({c}, ' {given} ', ' {used} ')"
         return f"sha256(trim(regexp_replace({c}, ' +', ' ', 'g'), ' '))"
 
+    digests = ", ".join(f"('{name}', '{digest}')" for name, digest in licenses.DIGESTS)
     known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
     return f"""
 with raw(name, text) as (values {known}),
-listed as (select {canonical('text')} digest, min(name) name from raw group by 1),
+listed as (select digest, min(name) name from (select {canonical('text')} digest, name from raw union all select digest, name from (values {digests}) v(name, digest)) group by 1),
 doc as (select row_number() over () k, doc_id, coalesce(text, '') text from documents),
 unit as (select distinct k, u from doc, unnest(list_concat(regexp_split_to_array(text, '\n[ \t\r]*\n'), string_split(text, chr(10)))) t(u) where u <> ''),
 met as (select distinct k, name from unit join listed on {canonical('u')} = digest),
