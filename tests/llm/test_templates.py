@@ -1,5 +1,11 @@
 """Main text on hosts whose pages are mostly links, and on hosts of copies."""
 
+import random
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
 from tidemark.llm import extraction
 
 
@@ -60,3 +66,47 @@ def test_repeated_rows_keep_their_own_results(spark):
 def test_text_of_near_copies_of_an_article_stays(spark):
     pages = [story(0).replace("Some site", f"Visitor {i}") for i in range(6)]
     assert texts(spark, pages) == {i: "Title 0\n\nBody of 0" for i in range(6)}
+
+
+def test_template_alone_gives_what_names_give(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    named, alone = ({r["page_id"]: r["text"] for r in extraction.extract(pages, by_name=n).collect()} for n in (True, False))
+    assert named == alone and all(named.values())
+
+
+def test_names_without_meaning(spark):
+    """The same pages with elements and classes that tell nothing: only occurrence vectors part article and frame."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    plain = pages
+    for tag in ("article", "nav", "footer", "header", "aside", "main", "section"):
+        plain = plain.withColumn("html", F.regexp_replace("html", rf"<{tag}\b[^>]*>", f'<div class="k{len(tag)}{tag[1]}q">')).withColumn("html", F.regexp_replace("html", f"</{tag}>", "</div>"))
+    plain = plain.withColumn("html", F.regexp_replace("html", r'class="(?:ad|comments?|sidebar|cookie)[^"]*"', 'class="zz"'))
+    want, got = ({r["page_id"]: r["text"] for r in extraction.extract(p).collect()} for p in (pages, plain))
+    assert plain.filter("html like '%<article%' or html like '%<nav%' or html like '%<footer%'").count() == 0
+    assert np.mean([got[k] == want[k] for k in want]) > 0.98
+
+
+def test_a_heading_ahead_of_the_text(spark):
+    page = lambda n: f"<div class=qa><ul>{links(9)}</ul></div><div class=qb><h1>Title {n}</h1><div class=qc>by {n}</div><div class=qd><p>{'many words of text ' * n}</p><p>end {n}</p></div></div><div class=qe>Terms {n}</div>"
+    assert texts(spark, [page(n) for n in range(40, 46)]) == {i: f"Title {n}\n\n{('many words of text ' * n).strip()}\n\nend {n}" for i, n in enumerate(range(40, 46))}
+
+
+def test_classes_by_brute_force(spark):
+    rng = random.Random(12)
+
+    def page(n):
+        parts = [f"<div class=c{'abcdef'[k]}><p>{rng.choice(['fixed', f'own {n} {k}'])} {k}</p></div>" for k in range(6) if rng.random() < 0.9]
+        return f"<html><body><div class=top>Site</div>{''.join(parts)}<div class=end>Bye</div></body></html>"
+
+    rows = [(i, f"http://h{i % 3}.example/{i}", page(i)) for i in range(36)]
+    got = {r["host"]: r for r in extraction.templates(spark.createDataFrame([(f"h{i % 3}", h) for i, _, h in rows], "host string, html string"), 100).collect()}
+    for host in ("h0", "h1", "h2"):
+        pages = {tuple(extraction.blocks(h)) for i, _, h in rows if f"h{i % 3}" == host}
+        counts = [Counter(extraction.token(path, text) for path, text, _ in p) for p in pages]
+        # the container of a block is counted where it opens, as a block without text
+        vectors = {t: tuple(c[t] for c in counts) for t in set().union(*counts)}
+        frequent = {t: v for t, v in vectors.items() if sum(map(bool, v)) >= max(0.6 * len(pages), 2)}
+        members = Counter(frequent.values())
+        valid = {t for t, v in frequent.items() if members[v] >= 2 and max(v) == 1}
+        assert set(got[host]["containers"]) == {t for t in valid if "\t" not in t}
+        assert set(got[host]["texts"]) == {t for t in valid if "\t" in t}

@@ -37,6 +37,8 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z
 ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Share of a host's pages on which a token must stand to be frequent, and of link text above which a slot is a menu.
 FREQUENT, LINKS = 0.6, 0.5
+#: Share of a host's text outside links that the article's container holds at least, where none is named as such.
+MOST = 0.7
 #: Stands between the containers of a token; names hold no white space.
 INSIDE = "\n"
 
@@ -149,7 +151,7 @@ def host_of(url: Column) -> Column:
 COUNTED = "host string, content long, token array<string>, times array<long>, chars array<long>, links array<long>, place array<int>"
 
 
-def count_tokens(parts):
+def count_tokens(parts, by_name: bool):
     """For each page: a hash of what stands on it (equal for copies), and for each of its tokens how often it occurs,
     how much text, and text in links, stands in it and in no container further inside (without what goes by name), and
     its place. Copies inside a batch give one row."""
@@ -163,12 +165,12 @@ def count_tokens(parts):
             seen: Counter = Counter()
             inside: dict[str, list[int]] = {}
             for path, text, links in found:
-                sums = inside.setdefault(token(path), [0, 0, place_of(path)])
+                sums = inside.setdefault(token(path), [0, 0, place_of(path) if by_name else 0])
                 if text:
                     block = token(path, text)
                     seen[block] += 1
                     inside[block] = [0, 0, min(1, sums[2])]
-                    if not is_aside(path):
+                    if not (by_name and is_aside(path)):
                         sums[0] += len(text)
                         sums[1] += links
                 else:
@@ -178,8 +180,9 @@ def count_tokens(parts):
         yield pd.DataFrame([(*k, *v) for k, v in got.items()], columns=["host", "content", "token", "times", "chars", "links", "place"])
 
 
-def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
-    """host -> slots: the containers of the host's template, with `menus` (mostly links), and fixed texts.
+def templates(pages: DataFrame, broadcast_hosts: int, by_name: bool = True) -> DataFrame:
+    """host -> slots: the containers of the host's template, with `menus` (mostly links), the one that holds `most` of
+    the text, and fixed texts.
 
     pages: host, html. Pages of a host with the same blocks count once. Classes are the tokens of a host with the same
     vector; those of at least two tokens that stand once a page on most pages are the template. A host with one page has
@@ -187,7 +190,7 @@ def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
     of which it is the innermost template container. Containers of the article, those around them, and of the slots
     inside the one with the most text outside links are never menus. A host's row is no longer than twice a mean page.
     """
-    distinct = materialize(pages.mapInPandas(count_tokens, COUNTED).dropDuplicates(["host", "content"]))
+    distinct = materialize(pages.mapInPandas(lambda parts: count_tokens(parts, by_name), COUNTED).dropDuplicates(["host", "content"]))
     hosts = materialize(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     lists = F.arrays_zip("token", "times", "chars", "links", "place")
     each = distinct.select("host", "content", F.inline(lists))
@@ -209,6 +212,13 @@ def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
     innermost = F.array_max("around")  # the longest, as all begin one token
     held = nested.groupBy("host", innermost.alias("token")).agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     guarded = nested.filter("place = 2").select("host", F.explode("around").alias("token")).distinct().withColumn("guarded", F.lit(True))
+    # the innermost container around most of the host's text outside links; two such are nested, so the longest path
+    text_of = nested.select("host", (F.col("chars") - F.col("links")).alias("said"), F.explode("around").alias("token"))
+    text_of = text_of.groupBy("host", "token").agg(F.sum("said").alias("said"))
+    whole = nested.groupBy("host").agg(F.sum(F.col("chars") - F.col("links")).alias("all"))
+    no_leaf = ~F.col("token").rlike(rf"(?:^|{INSIDE})(?:{'|'.join(sorted(HEADINGS_AND_LEAVES))})(?:\.[^{INSIDE}]*)?$")
+    most = text_of.join(spread(whole), "host").filter((F.col("said") >= MOST * F.col("all")) & (F.col("said") > 0) & no_leaf)
+    most = most.groupBy("host").agg(F.max_by("token", F.length("token")).alias("most"))
     outside_links = F.struct(F.col("chars") - F.col("links"), F.col("token"))
     return (
         valid.join(held, ["host", "token"], "left").join(guarded, ["host", "token"], "left").groupBy("host").agg(
@@ -217,38 +227,48 @@ def templates(pages: DataFrame, broadcast_hosts: int) -> DataFrame:
             F.collect_list(F.when(~is_text, F.col("token"))).alias("containers"),
             F.collect_list(F.when(is_text & (F.col("place") == 0) & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
         ).select("host", F.filter("menus", lambda m: ~m.eqNullSafe(F.col("body"))).alias("menus"), "containers", "texts")
+        .join(spread(most), "host", "left")
     )
 
 
-def extract(pages: DataFrame, broadcast_hosts: int = 20_000) -> DataFrame:
+def extract(pages: DataFrame, broadcast_hosts: int = 20_000, by_name: bool = True) -> DataFrame:
     """A row for each row of pages: page_id, url, text, n_chars.
 
     Pages of a host share a template; each block belongs to the innermost template container around it, its slot.
-    Blocks in slots beside the article, in menus, and template texts go; if the page has a container of the article,
-    only blocks inside stay. White space inside a block becomes one space, blocks are joined by two line feeds. Null or
-    empty pages, and pages without an article text, have an empty text; a null url counts as one host; repeated rows
-    keep their own results and, like all copies of a page on its host, count once for the template; other columns are
-    ignored. A hot host's pages stay spread: only counts are gathered by host.
+    Blocks in slots beside the article, in menus, and template texts go. Of the rest those inside a container of the
+    article stay if the page has one: one that is named so, or else the innermost template container around most of the
+    host's text outside links, with the page's first-order headings ahead of it. Names tell asides and articles where
+    they are known (`by_name`); without, the template alone decides. Text that stands on most pages is told from the
+    article's own only on hosts with four different pages or more; with fewer, names, links and the share of text
+    decide. White space inside a block becomes one space, blocks are joined by two line feeds. Null or empty pages, and
+    pages without an article text, have an empty text; a null url counts as one host; repeated rows keep their own
+    results and, like all copies of a page on its host, count once for the template; other columns are ignored. A hot
+    host's pages stay spread: only counts are gathered by host.
     """
     base = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    known = materialize(templates(base.select("host", "html"), broadcast_hosts))
+    known = materialize(templates(base.select("host", "html"), broadcast_hosts, by_name))
     small = known.limit(broadcast_hosts + 1).count() <= broadcast_hosts
     told = base.join(F.broadcast(known) if small else known, "host", "left")
 
     def pick(parts):
         for p in parts:
             texts = []
-            for page, menus, containers, fixed in zip(p["html"], p["menus"], p["containers"], p["texts"]):
+            for page, menus, containers, fixed, most in zip(p["html"], p["menus"], p["containers"], p["texts"], p["most"]):
                 menus, containers, fixed = (set(x) if x is not None else set() for x in (menus, containers, fixed))
-                found = [(path, text) for path, text, _ in blocks(page) if text and not is_aside(path)]
+                around = tuple(most.split(INSIDE)) if most else None
+                found = [(path, text) for path, text, _ in blocks(page) if text and not (by_name and is_aside(path))]
 
                 def in_slot(path: tuple[str, ...]) -> bool:
                     slot = next((t for t in (token(path[:i]) for i in range(len(path), 0, -1)) if t in containers), None)
                     return slot not in menus
 
                 kept = [(path, text) for path, text in found if in_slot(path) and token(path, text) not in fixed]
-                inner = [(path, text) for path, text in kept if any(map(is_main, path))]
+                inner = [(path, text) for path, text in kept if by_name and any(map(is_main, path))]
+                if not inner and around:
+                    here = [path[: len(around)] == around for path, _ in kept]
+                    begun = here.index(True) if True in here else 0
+                    inner = [x for i, x in enumerate(kept) if here[i] or i < begun and (x[0] or ("",))[-1].split(".")[0] == "h1"] if True in here else []
                 texts.append("\n\n".join(text for _, text in inner or kept))
             yield pd.DataFrame({"page_id": p["page_id"], "url": p["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return told.select("page_id", "url", "html", "menus", "containers", "texts").mapInPandas(pick, "page_id long, url string, text string, n_chars long")
+    return told.select("page_id", "url", "html", "menus", "containers", "texts", "most").mapInPandas(pick, "page_id long, url string, text string, n_chars long")
