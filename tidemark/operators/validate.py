@@ -55,7 +55,9 @@ def rules(allowed_symbols: Iterable[str], require_date: bool = False) -> list[tu
 def validate_trades(trades: DataFrame, allowed_symbols: Iterable[str], require_date: bool = False) -> DataFrame:
     """trades with `reason_codes`, empty for valid rows and never null."""
     codes = F.array(*[F.when(broken, F.lit(code)) for code, broken in rules(allowed_symbols, require_date)])
-    return trades.withColumn("reason_codes", F.filter(codes, lambda c: c.isNotNull()))
+    # A generator of one row, as in parsing: filters on the codes then name one attribute. Were the codes an alias, the
+    # optimiser would derive constraints for every combination of the columns that the rules name, and fill the heap.
+    return trades.select("*", F.explode(F.array(F.filter(codes, lambda c: c.isNotNull()))).alias("reason_codes"))
 
 
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
