@@ -91,6 +91,8 @@ def publish_records(trades: DataFrame) -> DataFrame:
     return trades.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
 
 
-def latest_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """For each key the row that comes first in the order."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
+def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """For each key the row with the largest `order` columns; of several any one. Rows are compared before they are
+    shuffled, so that a hot key comes down to a row for each task."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")).select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
