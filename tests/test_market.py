@@ -173,3 +173,27 @@ def test_log_options():
     assert sources.log_options("h:1", "t")["failOnDataLoss"] == "true"
     with pytest.raises(ValueError):
         sources.log_options("h:1", "t", "middle")
+
+
+def test_features_that_no_query_shows(spark):
+    """Daylight saving, holidays, and the order-free digest row by row."""
+    import xxhash
+
+    from tidemark.operators import features
+
+    times = [("2026-03-06 14:30:00", "REGULAR"), ("2026-03-09 13:30:00", "REGULAR"), ("2026-03-09 14:30:00", "REGULAR"), ("2026-03-06 13:30:00", "PRE_MARKET"), ("2026-07-03 15:00:00", "CLOSED"), ("2026-03-07 15:00:00", "CLOSED"), ("2026-03-09 20:30:00", "AFTER_HOURS")]
+    df = spark.createDataFrame([(t,) for t, _ in times], "t string").select(F.col("t").cast("timestamp").alias("bar_start"))
+    shut = spark.createDataFrame([("2026-07-03",)], "d string").select(F.to_date("d").alias("session_date"))
+    got = {str(r["bar_start"]): r["session"] for r in features.with_session(df, shut).withColumn("bar_start", F.col("bar_start").cast("string")).collect()}
+    assert got == dict(times)
+    rows = bar_rows(spark, {"symbol": "A"}, {"symbol": "B", "vwap": None})
+    lines = [r[0] for r in rows.select(quality.canonical_line()).collect()]
+    want = sum((h := xxhash.xxh64(line.encode(), seed=42).intdigest()) - (h >> 63 << 64) for line in lines)
+    assert tuple(quality.unordered_digest(rows).first()) == (2, str(want))
+
+
+def test_rows_with_null_keys_are_never_duplicates(spark):
+    from tidemark.operators import features
+
+    df = spark.createDataFrame([(1, "a", None), (2, "a", "x"), (3, None, "x"), (4, None, None), (5, "b", "y"), (6, None, "y")], "id long, k string, h string")
+    assert sorted(r["id"] for r in features.first_of_each(df, [["k"], ["h"]], ["id"]).collect()) == [1, 3, 4, 5]

@@ -110,3 +110,47 @@ def test_options_and_statement():
     text = sinks.upsert_statement("staging")
     assert "ON CONFLICT (symbol, bar_start, timeframe, source, feed)" in text and "spark_batch_id = EXCLUDED.spark_batch_id" in text and "symbol = EXCLUDED" not in text
     assert processor.parse_args(["--checkpoints", "c"]).trigger == "5 seconds"
+
+
+def test_batches_reach_a_database_by_staging(spark, tmp_path):
+    """An embedded database stands for the server; the statement that it would run is recorded."""
+    url, own, said = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, []
+    write = sinks.sink_of(url, own, said.append)
+    bars = bar_rows(spark, {"symbol": "NVDA"}, {"symbol": "SPY"})
+    write(bars.limit(0), 29)
+    assert said == []
+    with pytest.raises(ValueError, match="constraint"):
+        write(bar_rows(spark, {"close": "106"}), 30)
+    for number in (30, 31):
+        write(bars, number)
+    staged = spark.read.jdbc(url, "market_bars_staging", properties=own).collect()
+    assert {(r["symbol"], str(r["close"]), r["spark_batch_id"]) for r in staged} == {("NVDA", "100.500000", 31), ("SPY", "100.500000", 31)}
+    assert said == [sinks.upsert_statement("market_bars_staging")] * 2
+
+
+def test_exports_have_a_digest_and_stay_in_their_folder(spark, tmp_path):
+    bars = bar_rows(spark, {"symbol": "B"}, {"symbol": "A", "vwap": None})
+    told = sinks.export_csv(bars, str(tmp_path / "out" / "x"), str(tmp_path / "out")).first()
+    again = sinks.export_csv(bars, str(tmp_path / "out" / "y"), str(tmp_path / "out"), told["sha256"]).first()
+    other = sinks.export_csv(bars.limit(1), str(tmp_path / "out" / "z"), None, told["sha256"]).first()
+    assert (told["rows"], told["matches"], again["matches"], other["matches"]) == (2, None, True, False) and len(told["sha256"]) == 64
+    with pytest.raises(ValueError, match="inside its folder"):
+        sinks.export_csv(bars, str(tmp_path / "out" / ".." / "else"), str(tmp_path / "out"))
+
+
+def test_the_run_stops_after_its_timeout(spark, tmp_path, monkeypatch, capsys):
+    import tidemark.session as session
+
+    class Kept:
+        """The session of the tests, which the run may not stop."""
+
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    land(tmp_path / "landed", "a.txt", record(100, 3, "30:10", 1), "not-json", record(111, 1, "34:30", 6))
+    monkeypatch.setattr(session, "market_session", lambda name: Kept())
+    monkeypatch.setattr(processor, "log_stream", lambda s, servers, topic, offsets: replay_stream(spark, str(tmp_path / "landed")))
+    table = str(tmp_path / "table")
+    processor.main(["--checkpoints", str(tmp_path / "state"), "--bar-table", table, "--symbols", "NVDA", "--timeout", "12", "--trigger", "1 second"])
+    assert not spark.streams.active and sinks.BarLog(spark, table).current().count() == 1
+    assert "MALFORMED" in capsys.readouterr().out

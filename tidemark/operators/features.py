@@ -30,7 +30,7 @@ def moving_average(bars: DataFrame, n: int, reach: int = 4) -> Column:
 
 
 def technical(bars: DataFrame, n: int = 14) -> DataFrame:
-    """bars with rsi, atr (plain means of n changes), sample_count and is_ready; null as long as not ready."""
+    """bars with rsi, atr (plain means of n changes), sample_count, is_ready and reason; null as long as not ready."""
     change = F.col("close").cast("double") - F.lag("close").over(_series()).cast("double")
     past = F.lag("close").over(_series()).cast("double")
     high, low = F.col("high").cast("double"), F.col("low").cast("double")
@@ -40,7 +40,7 @@ def technical(bars: DataFrame, n: int = 14) -> DataFrame:
     up, down = (F.avg(F.greatest(F.lit(0.0), s * F.col("__change"))).over(last) for s in (1, -1))
     out = out.withColumn("is_ready", F.col("sample_count") == n).withColumn("__up", up).withColumn("__down", down)
     rsi = F.when(F.col("__down") == 0, F.when(F.col("__up") == 0, 50.0).otherwise(100.0)).otherwise(100 - 100 / (1 + F.try_divide("__up", "__down")))
-    return out.withColumn("rsi", F.when(F.col("is_ready"), rsi)).withColumn("atr", F.when(F.col("is_ready"), F.avg("__range").over(last))).drop("__change", "__range", "__up", "__down")
+    return out.withColumn("rsi", F.when(F.col("is_ready"), rsi)).withColumn("atr", F.when(F.col("is_ready"), F.avg("__range").over(last))).withColumn("reason", F.when(~F.col("is_ready"), "INSUFFICIENT_WARMUP")).drop("__change", "__range", "__up", "__down")
 
 
 def new_york(time: str) -> Column:
@@ -84,13 +84,24 @@ def volume_scores(bars: DataFrame, days: int = 20, unit: Column | None = None) -
     return out.withColumn("volume_zscore", F.when(spread > 0, (F.col("volume") - F.avg("volume").over(same)) / spread)).drop("__slot")
 
 
-def alerts(bars: DataFrame, max_return: float, max_zscore: float, rule_version: str) -> DataFrame:
-    """Bars whose return_1 or volume_zscore goes beyond the caller's limits, with reasons and an id that reruns keep."""
-    reasons = F.filter(F.array(F.when(F.abs("return_1") > max_return, "RETURN_SPIKE"), F.when(F.col("volume_zscore") > max_zscore, "VOLUME_SPIKE")), lambda x: x.isNotNull())
+def atr_move(bars: DataFrame) -> Column:
+    """How many average ranges (`atr` of the bar before) a bar's close lies from the one before; null without both."""
+    past, span = F.lag("close").over(_series()).cast("double"), F.lag("atr").over(_series())
+    return F.try_divide(F.abs(F.col("close").cast("double") - past), span)
+
+
+def alerts(bars: DataFrame, max_return: float, max_zscore: float, rule_version: str, max_atr: float | None = None) -> DataFrame:
+    """Bars whose return_1, volume_zscore or (with a limit) atr_move goes beyond the caller's limits, with reasons, the
+    observations that were judged, and an id that reruns keep."""
+    limits = {"RETURN_SPIKE": (F.abs("return_1"), max_return), "VOLUME_SPIKE": (F.col("volume_zscore"), max_zscore)}
+    if max_atr is not None:
+        limits["ATR_MOVE"] = (F.col("atr_move"), max_atr)
+    reasons = F.filter(F.array(*[F.when(value > limit, name) for name, (value, limit) in limits.items()]), lambda x: x.isNotNull())
     found = bars.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
     ident = F.concat_ws("|", *SERIES, F.unix_micros("bar_start").cast("string"), F.lit(rule_version))
     status = F.when(F.col("feed") == "iex", "PRELIMINARY_IEX").otherwise("CONFIRMED")
-    return found.withColumn("alert_id", F.sha2(ident.cast("binary"), 256)).withColumn("status", status).withColumn("rule_version", F.lit(rule_version))
+    seen = F.create_map(*[x for name, (value, _) in limits.items() for x in (F.lit(name), value)])
+    return found.withColumn("observations", seen).withColumn("alert_id", F.sha2(ident.cast("binary"), 256)).withColumn("status", status).withColumn("rule_version", F.lit(rule_version))
 
 
 def reconcile(one: DataFrame, two: DataFrame, tolerance_bps: float, settled_before: Column) -> DataFrame:
@@ -111,6 +122,46 @@ def settle_alerts(found: DataFrame, reconciled: DataFrame, rule_version: str) ->
     return judged.withColumn("status", status).withColumn("rule_version", F.lit(rule_version)).dropDuplicates(["alert_id", "rule_version"])
 
 
+def transitions(history: DataFrame, settled: DataFrame) -> DataFrame:
+    """alert_id, rule_version, from_status, status: what a settlement adds to the history of alerts (alert_id,
+    rule_version, status). Statuses that an alert has had are not added again, so repeated runs add nothing."""
+    key = ["alert_id", "rule_version"]
+    had = history.groupBy(*key).agg(F.collect_set("status").alias("had"))
+    fresh = settled.select(*key, "status").join(had, key, "left").filter(~F.coalesce(F.array_contains("had", F.col("status")), F.lit(False)))
+    return fresh.select(*key, F.array_min("had").alias("from_status"), "status")
+
+
+def latencies(events: DataFrame, event: str, stored: str, by: list[str], now: Column) -> DataFrame:
+    """By group: events, p50 and p95 of the milliseconds from event to store, last_event and the seconds since it.
+
+    Milliseconds are counted before percentiles are taken, so that a hot group adds up early.
+    """
+    delay = F.floor((F.unix_micros(stored) - F.unix_micros(event)) / 1000)
+    counted = events.groupBy(*by, delay.alias("__ms")).agg(F.count(F.lit(1)).alias("__n"), F.max(event).alias("__last"))
+    out = counted.groupBy(*by).agg(
+        F.sum("__n").alias("events"), F.percentile("__ms", 0.5, F.col("__n")).alias("p50_ms"), F.percentile("__ms", 0.95, F.col("__n")).alias("p95_ms"), F.max("__last").alias("last_event")
+    )
+    return out.withColumn("freshness_seconds", (F.unix_micros(now) - F.unix_micros("last_event")) / 1_000_000)
+
+
+def stale(fresh: DataFrame, limit: float) -> DataFrame:
+    """Groups of latencies() that have been silent for longer than `limit` seconds, with the code SOURCE_STALE."""
+    return fresh.filter(F.col("freshness_seconds") > limit).withColumn("code", F.lit("SOURCE_STALE"))
+
+
+def surprises(releases: DataFrame, actual: str = "actual", forecast: str = "forecast") -> DataFrame:
+    """releases with `surprise`, actual less forecast; null unless both are known."""
+    return releases.withColumn("surprise", F.col(actual) - F.col(forecast))
+
+
+def spread(seen: DataFrame, one: str, two: str) -> DataFrame:
+    """date, realtime_start, spread: value of series `one` less that of `two` on the same date and in the same vintage;
+    null unless both are known."""
+    pair = seen.filter(F.col("series").isin(one, two)).groupBy("date", "realtime_start")
+    both = pair.agg(*[F.max(F.when(F.col("series") == name, F.col("value"))).alias(side) for name, side in ((one, "one"), (two, "two"))])
+    return both.select("date", "realtime_start", (F.col("one") - F.col("two")).alias("spread"))
+
+
 def rates(events: DataFrame, time: str, payload: str, by: list[str]) -> DataFrame:
     """events a group, most in a second, 95th percentile of events in ten seconds, mean and 95th percentile of bytes.
 
@@ -124,10 +175,12 @@ def rates(events: DataFrame, time: str, payload: str, by: list[str]) -> DataFram
     return peak.join(tens, by).join(sizes, by)
 
 
-def impact(events: DataFrame, bars: DataFrame, minutes: tuple[int, ...] = (5, 30, 60)) -> DataFrame:
-    """For each event (id, event_time), symbol and window: bars, volume and return before and after, and their ratios.
+def impact(events: DataFrame, bars: DataFrame, minutes: tuple[int, ...] = (5, 30, 60), market: str | None = None) -> DataFrame:
+    """For each event (id, event_time), symbol and window: bars, volume, return and realised volatility before and
+    after, ratios of after to before, and the return beyond that of the symbol `market`.
 
-    Return is last close over first open. Coverage is the share of minutes that have a bar.
+    Return is last close over first open; volatility the root of the sum of squared log returns of the bars. Coverage is
+    the share of minutes that have a bar. excess_return is null where the market symbol has no return.
     """
     from .joins import within
 
@@ -136,15 +189,20 @@ def impact(events: DataFrame, bars: DataFrame, minutes: tuple[int, ...] = (5, 30
         met = within(events.withColumn("__one", F.lit(1)), bars.withColumn("__one", F.lit(1)), ["__one"], "event_time", "bar_start", m * 60, m * 60)
         met = met.withColumn("past", F.col("bar_start") < F.col("event_time"))
 
+        step = F.log(F.col("close").cast("double") / F.col("open").cast("double"))
+
         def side(past: bool, name: str) -> list[Column]:
             here = F.col("past") == past
             first, last = F.min_by(F.when(here, F.col("open").cast("double")), F.when(here, F.col("bar_start"))), F.max_by(F.when(here, F.col("close").cast("double")), F.when(here, F.col("bar_start")))
-            return [F.sum(F.when(here, F.col("volume")).otherwise(0)).alias(f"{name}_volume"), F.sum(here.cast("long")).alias(f"{name}_bars"), (last / first - 1).alias(f"{name}_return")]
+            return [F.sum(F.when(here, F.col("volume")).otherwise(0)).alias(f"{name}_volume"), F.sum(here.cast("long")).alias(f"{name}_bars"), (last / first - 1).alias(f"{name}_return"), F.sqrt(F.sum(F.when(here, step * step))).alias(f"{name}_volatility")]
 
         part = met.groupBy("id", "symbol").agg(*side(True, "pre"), *side(False, "post")).withColumn("minutes", F.lit(m))
         out = part if out is None else out.unionByName(part)
     coverage = (F.col("pre_bars") + F.col("post_bars")) / (2 * F.col("minutes"))
-    return out.withColumn("volume_ratio", F.try_divide(F.col("post_volume").cast("double"), F.col("pre_volume").cast("double"))).withColumn("coverage", coverage.cast("double"))
+    out = out.withColumn("volume_ratio", F.try_divide(F.col("post_volume").cast("double"), F.col("pre_volume").cast("double"))).withColumn("coverage", coverage.cast("double"))
+    out = out.withColumn("volatility_ratio", F.try_divide("post_volatility", "pre_volatility"))
+    of_market = F.max(F.when(F.col("symbol") == F.lit(market), F.col("post_return"))).over(Window.partitionBy("id", "minutes"))  # the symbols of one event
+    return out.withColumn("excess_return", F.col("post_return") - of_market)
 
 
 def impact_report(impacts: DataFrame, kinds: DataFrame, least_events: int) -> DataFrame:
@@ -181,23 +239,41 @@ def expired(bars: DataFrame, now: Column, days: int, kept: DataFrame) -> DataFra
     return old.join(spans, safe, "left_anti").drop("__day")
 
 
-def first_of_each(rows: DataFrame, keys: list[list[str]], order: list[Column]) -> DataFrame:
+def news_keys(items: DataFrame, headline: str, source: str, time: str, content: str) -> DataFrame:
+    """items with headline_key (the headline in lower case with single spaces, with source and minute) and content_key,
+    both as digests; null where a part is."""
+    said = F.concat_ws("|", F.trim(F.regexp_replace(F.lower(headline), r"\s+", " ")), source, F.floor(F.unix_micros(time) / 60_000_000).cast("string"))
+    whole = F.col(headline).isNotNull() & F.col(source).isNotNull() & F.col(time).isNotNull()
+    return items.withColumn("headline_key", F.when(whole, F.sha2(said.cast("binary"), 256))).withColumn("content_key", F.sha2(F.col(content).cast("binary"), 256))
+
+
+def first_of_each(rows: DataFrame, keys: list[list[str]], order: list[str]) -> DataFrame:
     """Exact deduplication by one key after another: a row goes if an earlier one has the same key. Null keys match
-    nothing."""
+    nothing and aren't shuffled. `order` must tell rows apart; firsts are found before the shuffle, so that a hot key
+    comes down to a row for each task."""
     for key in keys:
-        place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
         known = F.lit(True)
         for c in key:
             known = known & F.col(c).isNotNull()
-        rows = rows.withColumn("__n", place).filter((F.col("__n") == 1) | ~known).drop("__n")
+        first = rows.filter(known).groupBy(*key).agg(F.min(F.struct(*order)).alias("__first")).select(*key, *[F.col(f"__first.{c}").alias(c) for c in order if c not in key])
+        rows = rows.filter(known).join(first, list(dict.fromkeys([*key, *order])), "left_semi").unionByName(rows.filter(~known))
     return rows
 
 
-def late_codes(trades: DataFrame, arrival: str, event: str, tolerance: float) -> DataFrame:
+def late_codes(trades: DataFrame, arrival: str, event: str, tolerance: float, cell: int = 300) -> DataFrame:
     """trades with `delay_codes`: FUTURE_TIMESTAMP beyond the tolerance in seconds, OUT_OF_ORDER_EVENT behind an event
-    that arrived before, DUPLICATE_EVENT for a repeated event_id."""
-    before = Window.partitionBy("symbol").orderBy(arrival, "id").rowsBetween(Window.unboundedPreceding, -1)
+    of its symbol that arrived before, DUPLICATE_EVENT for a repeated event_id.
+
+    The running maximum is taken inside cells of `cell` seconds of arrival and carried over from the cells before, so
+    that no task orders a whole symbol.
+    """
+    trades = trades.withColumn("__cell", F.floor(F.unix_micros(arrival) / (cell * 1_000_000)))
+    before = Window.partitionBy("symbol").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = trades.groupBy("symbol", "__cell").agg(F.max(event).alias("__most")).select("symbol", "__cell", F.max("__most").over(before).alias("__most"))
+    inside = Window.partitionBy("symbol", "__cell").orderBy(arrival, "id").rowsBetween(Window.unboundedPreceding, -1)
     again = F.row_number().over(Window.partitionBy("event_id").orderBy(arrival, "id")) > 1
     ahead = (F.unix_micros(event) - F.unix_micros(arrival)) > tolerance * 1_000_000
-    codes = F.array(F.when(ahead, "FUTURE_TIMESTAMP"), F.when(F.col(event) < F.max(event).over(before), "OUT_OF_ORDER_EVENT"), F.when(again, "DUPLICATE_EVENT"))
-    return trades.withColumn("delay_codes", F.filter(codes, lambda x: x.isNotNull()))
+    behind = F.col(event) < F.greatest(F.max(event).over(inside), F.col("__most"))
+    codes = F.array(F.when(ahead, "FUTURE_TIMESTAMP"), F.when(behind, "OUT_OF_ORDER_EVENT"), F.when(again, "DUPLICATE_EVENT"))
+    told = trades.join(earlier, ["symbol", "__cell"]).withColumn("delay_codes", F.filter(codes, lambda x: x.isNotNull()))
+    return told.drop("__cell", "__most")

@@ -65,6 +65,11 @@ def digest(bars: DataFrame, *by: str) -> DataFrame:
     return lines.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.array_join(ordered, "\n").cast("binary"), 256).alias("sha256"))
 
 
+def digest_matches(bars: DataFrame, expected_sha256: str | None, *by: str) -> DataFrame:
+    """digest() with `matches`: whether it is the expected one; null if none is expected."""
+    return digest(bars, *by).withColumn("matches", F.col("sha256") == F.lit(expected_sha256).cast("string"))
+
+
 def unordered_digest(bars: DataFrame) -> DataFrame:
     """Rows and an order-free checksum, in one pass over any size."""
     return bars.select(F.xxhash64(canonical_line()).cast("decimal(20,0)").alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.sum("h").cast("string").alias("checksum"))

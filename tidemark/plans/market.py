@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.schemas import BAR_COLUMNS, PRICE
 from tidemark.operators import bars as bar_ops
 from tidemark.operators import envelope, parse, quality, validate
+from tidemark.session import shared_dir
 from tidemark.sources.events import replay_stream
 from tidemark.streaming.processor import build_streams
 from tidemark.streaming.sinks import current_bars, with_epoch_micros
@@ -237,11 +237,10 @@ def bar_epoch_micros(spark, sf_dir):
 CLOSED = " select * from bar where bar_start + interval 1 minute <= (select max(time) from trade where price > 0) - interval 2 minute"
 
 
-def streamed(spark, sf_dir, files: int):
+def streamed(records, spark):
     """Land the records as text, stream them through the processor until all is read, and read the finished bars."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-tidemark-")
-    root = f"{root.rstrip('/')}/streams/{uuid.uuid4().hex}"
-    mapping.records(spark, sf_dir).select("value").repartition(files).write.text(f"{root}/landed")
+    root = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    records.select("value").write.text(f"{root}/landed")
     bars, _ = build_streams(replay_stream(spark, f"{root}/landed"), mapping.SYMBOLS)
     run = bars.writeStream.outputMode("append").format("parquet").option("path", f"{root}/bars").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     run.awaitTermination()
@@ -250,12 +249,12 @@ def streamed(spark, sf_dir, files: int):
 
 @query(bars_sql() + CLOSED, prices="open high low close vwap")
 def finalized_bars(spark, sf_dir):
-    return streamed(spark, sf_dir, 1)
+    return streamed(mapping.records(spark, sf_dir), spark)
 
 
 @query(bars_sql() + CLOSED, prices="open high low close vwap")
 def replay_stream_bars(spark, sf_dir):
-    return streamed(spark, sf_dir, 4)
+    return streamed(mapping.records(spark, sf_dir).repartition("value"), spark)
 
 
 # bar tables
@@ -315,7 +314,7 @@ def bars_digest(spark, sf_dir):
     return quality.digest(mapping.bars(spark, sf_dir).withColumn("day", F.to_date("bar_start")), "symbol", "day")
 
 
-@query()
+@query()  # the sum of a hash that SQL lacks; tests compare it with one worked out row by row
 def bars_unordered_digest(spark, sf_dir):
     return quality.unordered_digest(mapping.bars(spark, sf_dir))
 

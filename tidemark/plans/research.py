@@ -39,9 +39,9 @@ def moving_averages(spark, sf_dir):
 
 @query(HOUR + """, step as (select *, "close"::double - lag("close") over w::double c, greatest(high::double - low::double, abs(high::double - lag("close") over w::double), abs(low::double - lag("close") over w::double)) r from bar window w as (partition by symbol order by bar_start)),
 m as (select symbol, bar_start, count(c) over v n, avg(greatest(0, c)) over v up, avg(greatest(0, -c)) over v down, avg(r) over v tr from (select * replace (case when c is null then null else r end as r) from step) window v as (partition by symbol order by bar_start rows between 13 preceding and current row))
-select symbol, bar_start, n sample_count, n = 14 is_ready, case when n = 14 then round(case when down = 0 then case when up = 0 then 50 else 100 end else 100 - 100 / (1 + up / down) end, 6) end rsi from m""")
+select symbol, bar_start, n sample_count, n = 14 is_ready, case when n = 14 then round(case when down = 0 then case when up = 0 then 50 else 100 end else 100 - 100 / (1 + up / down) end, 6) end rsi, case when n = 14 then round(tr, 6) end atr, case when n < 14 then 'INSUFFICIENT_WARMUP' end reason from m""")
 def technical_features(spark, sf_dir):
-    return rounded(features.technical(hours(spark, sf_dir)).select("symbol", "bar_start", "sample_count", "is_ready", "rsi"), "rsi")
+    return rounded(features.technical(hours(spark, sf_dir)).select("symbol", "bar_start", "sample_count", "is_ready", "rsi", "atr", "reason"), "rsi", "atr")
 
 
 LOCAL = ", told as (select *, (bar_start - interval 5 hour) local from bar), named as (select *, local::date session_date, case when dayofweek(local) in (0, 6) then 'CLOSED' when hour(local) * 60 + minute(local) between 240 and 569 then 'PRE_MARKET' when hour(local) * 60 + minute(local) between 570 and 959 then 'REGULAR' when hour(local) * 60 + minute(local) between 960 and 1199 then 'AFTER_HOURS' else 'CLOSED' end session from told)"
@@ -109,23 +109,27 @@ def as_of_lookup(spark, sf_dir):
 
 IMPACT = bars_sql() + """, event as (select id, time event_time from trade where symbol = 'SIGNUP'), w(minutes) as (values (5), (30), (60)),
 met as (select e.id, b.symbol, minutes, b.bar_start < event_time past, b.* exclude (symbol) from event e, w, bar b where b.bar_start >= event_time - to_minutes(minutes) and b.bar_start < event_time + to_minutes(minutes)),
-imp as (select id, symbol, minutes, sum(case when past then volume else 0 end)::bigint pre_volume, sum(case when not past then volume else 0 end)::bigint post_volume, count(*) filter (past) pre_bars, count(*) filter (not past) post_bars, arg_max("close", bar_start) filter (not past)::double / arg_min(open, bar_start) filter (not past)::double - 1 post_return from met group by all)"""
+imp as (select id, symbol, minutes, sum(case when past then volume else 0 end)::bigint pre_volume, sum(case when not past then volume else 0 end)::bigint post_volume, count(*) filter (past) pre_bars, count(*) filter (not past) post_bars, arg_max("close", bar_start) filter (not past)::double / arg_min(open, bar_start) filter (not past)::double - 1 post_return, arg_max("close", bar_start) filter (past)::double / arg_min(open, bar_start) filter (past)::double - 1 pre_return, sqrt(sum(ln("close"::double / open::double) ** 2) filter (past)) pre_volatility, sqrt(sum(ln("close"::double / open::double) ** 2) filter (not past)) post_volatility from met group by all),
+told as (select *, case when pre_volume > 0 then post_volume::double / pre_volume end volume_ratio, (pre_bars + post_bars) / (2.0::double * minutes) coverage, case when pre_volatility > 0 then post_volatility / pre_volatility end volatility_ratio, post_return - max(case when symbol = 'VIEW' then post_return end) over (partition by id, minutes) excess_return from imp)"""
+
+
+RATIOS = ["pre_return", "post_return", "volume_ratio", "coverage", "volatility_ratio", "excess_return"]
 
 
 def impacts(spark, sf_dir):
     events = mapping.trades(spark, sf_dir).filter("symbol = 'SIGNUP'").select("id", F.col("time").alias("event_time"))
-    return features.impact(events, mapping.bars(spark, sf_dir))
+    return features.impact(events, mapping.bars(spark, sf_dir), market="VIEW")
 
 
-@query(IMPACT + " select id, symbol, minutes, pre_volume, post_volume, pre_bars, post_bars, round(post_return, 6) post_return from imp")
+@query(IMPACT + " select id, symbol, minutes, pre_volume, post_volume, pre_bars, post_bars, round(pre_return, 6) pre_return, round(post_return, 6) post_return, round(volume_ratio, 6) volume_ratio, round(coverage, 6) coverage, round(volatility_ratio, 6) volatility_ratio, round(excess_return, 6) excess_return from told")
 def event_impact(spark, sf_dir):
-    return rounded(impacts(spark, sf_dir).select("id", "symbol", "minutes", "pre_volume", "post_volume", "pre_bars", "post_bars", "post_return"), "post_return")
+    return rounded(impacts(spark, sf_dir).select("id", "symbol", "minutes", "pre_volume", "post_volume", "pre_bars", "post_bars", *RATIOS), *RATIOS)
 
 
-@query(IMPACT + " select id % 3 kind, minutes, count(distinct id) events, round(avg(post_return), 6) mean_return, round(avg((pre_bars + post_bars) / (2.0 * minutes)), 6) coverage from imp group by all")
+@query(IMPACT + " select id % 3 kind, minutes, count(distinct id) events, round(avg(post_return), 6) mean_return, round(quantile_cont(post_return, 0.5), 6) median_return, round(avg(coverage), 6) coverage, concat_ws(',', case when avg(coverage) < 1 then 'PARTIAL_MARKET_COVERAGE' end, case when count(distinct id) < 30 then 'INSUFFICIENT_EVENT_SAMPLES' end) reasons from told group by all")
 def impact_by_kind(spark, sf_dir):
     kinds = mapping.trades(spark, sf_dir).filter("symbol = 'SIGNUP'").select("id", (F.col("id") % 3).alias("kind"))
-    return rounded(features.impact_report(impacts(spark, sf_dir), kinds, 30).select("kind", "minutes", "events", "mean_return", "coverage"), "mean_return", "coverage")
+    return rounded(features.impact_report(impacts(spark, sf_dir), kinds, 30).select("kind", "minutes", "events", "mean_return", "median_return", "coverage", F.array_join("reasons", ",").alias("reasons")), "mean_return", "median_return", "coverage")
 
 
 @query("calm as (select t.id, t.symbol, t.time from trade t where t.symbol = 'CLICK' and not exists (select 1 from trade e where e.symbol = 'ERROR' and t.time >= e.time - interval 5 minute and t.time < e.time + interval 30 minute)) select hour(time)::int \"hour\", count(*) \"rows\" from calm group by 1")
@@ -137,9 +141,9 @@ def matched_baseline(spark, sf_dir):
     return calm.groupBy(F.hour("time").alias("hour")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("per as (select symbol, epoch_us(time) // 1000000 s, count(*) n, sum(octet_length(time_text::blob))::bigint b from trade group by all), tens as (select symbol, s // 10 t, sum(n) n from per group by all) select p.symbol, sum(p.n)::bigint events, max(p.n) max_per_second, sum(b)::double / sum(p.n) mean_bytes, any_value(q) p95_per_ten_seconds from per p join (select symbol, quantile_cont(n::double, 0.95) q from tens group by 1) using (symbol) group by 1")
+@query("per as (select symbol, epoch_us(time) // 1000000 s, count(*) n, sum(octet_length(time_text::blob))::bigint b from trade group by all), tens as (select symbol, s // 10 t, sum(n) n from per group by all) select p.symbol, sum(p.n)::bigint events, max(p.n) max_per_second, sum(b)::double / sum(p.n) mean_bytes, any_value(q) p95_per_ten_seconds, any_value(z) p95_bytes from per p join (select symbol, quantile_cont(n::double, 0.95) q from tens group by 1) using (symbol) join (select symbol, quantile_cont(octet_length(time_text::blob)::double, 0.95) z from trade group by 1) using (symbol) group by 1")
 def rate_profile(spark, sf_dir):
-    return features.rates(mapping.trades(spark, sf_dir), "time", "time_text", ["symbol"]).select("symbol", "events", "max_per_second", "mean_bytes", "p95_per_ten_seconds")
+    return features.rates(mapping.trades(spark, sf_dir), "time", "time_text", ["symbol"]).select("symbol", "events", "max_per_second", "mean_bytes", "p95_per_ten_seconds", "p95_bytes")
 
 
 @query(HOUR + """, part as (select symbol, bar_start, "close"::double / max("close") over (partition by symbol order by bar_start range between interval 1 hour preceding and interval 1 hour preceding)::double - 1 trend, case when volume > 0 then (volume % 21 - 10) / 10.0::double end flow, (trade_count % 3 - 1)::double mood from bar),
@@ -152,7 +156,7 @@ def composite_scores(spark, sf_dir):
 
 @query(bars_sql() + " select symbol, max(bar_start) bar_start, arg_max(\"close\", bar_start) \"close\" from bar group by 1", prices="close")
 def latest_bars(spark, sf_dir):
-    return latest_by(mapping.bars(spark, sf_dir), ["symbol"], F.desc("bar_start")).select("symbol", "bar_start", "close")
+    return latest_by(mapping.bars(spark, sf_dir), ["symbol"], ["bar_start"]).select("symbol", "bar_start", "close")
 
 
 @query(bars_sql() + ", kept as (select symbol, time s, time + interval 6 hour e from trade where id % 40 = 0) select bar_start::date as \"day\", count(*) \"rows\" from bar b where bar_start < timestamp '2024-01-31' - interval 10 day and not exists (select 1 from kept k where k.symbol = b.symbol and b.bar_start >= s and b.bar_start < e) group by 1")
@@ -171,14 +175,103 @@ def delay_codes(spark, sf_dir):
 
 @query("raw as (select o_orderpriority series, o_orderdate as \"date\", o_orderkey, case when o_orderkey % 10 = 0 then '.' else o_totalprice::varchar end v from orders), one as (select series, \"date\", arg_min(v, o_orderkey) v from raw group by all), n as (select series, \"date\", case when v <> '.' then v::decimal(18,6) end as value from one) select series, \"date\", value, value - lag(value) over (partition by series order by \"date\") change from n", prices="value change")
 def macro_observations(spark, sf_dir):
+    return day_values(spark, sf_dir).select("series", "date", "value", "change")
+
+
+def day_values(spark, sf_dir):
     """Orders as a series of observations for each priority: the first order of a day is the day's value."""
     orders = mapping.prepare(spark).read.parquet(f"{sf_dir}/orders.parquet")
     raw = orders.groupBy(F.col("o_orderpriority").alias("series"), F.col("o_orderdate").alias("date")).agg(F.min_by(F.when(F.col("o_orderkey") % 10 == 0, ".").otherwise(F.col("o_totalprice").cast("string")), "o_orderkey").alias("value"))
-    return features.observations(raw.withColumn("realtime_start", F.lit("v1"))).select("series", "date", "value", "change")
+    return features.observations(raw.withColumn("realtime_start", F.lit("v1")))
 
 
 @query("x as (select min(id) id from trade group by user_id, symbol, time_bucket(interval 1 hour, time)) select * from x")
 def news_dedup(spark, sf_dir):
     """Events as news items: one for each id, then one for each user, kind and hour."""
     items = mapping.trades(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "time"))
-    return features.first_of_each(items, [["event_id"], ["user_id", "symbol", "hour"]], [F.col("id")]).select("id")
+    return features.first_of_each(items, [["event_id"], ["user_id", "symbol", "hour"]], ["id"]).select("id")
+
+
+ATR = ALERTS.split("alert as (")[0] + """step as (select symbol, bar_start, "close"::double - lag("close") over w::double c, greatest(high::double - low::double, abs(high::double - lag("close") over w::double), abs(low::double - lag("close") over w::double)) r from bar window w as (partition by symbol order by bar_start)),
+span as (select symbol, bar_start, case when count(c) over v = 14 then avg(r) over v end tr from step window v as (partition by symbol order by bar_start rows between 13 preceding and current row)),
+moved as (select j.*, case when s > 0 then (volume - m) / s end z, abs("close"::double - lag("close") over w::double) / lag(tr) over w mv from judged j join span using (symbol, bar_start) window w as (partition by symbol order by bar_start))"""
+
+
+@query(ATR + """ select symbol, bar_start, concat_ws(',', case when abs(ret) > 2 then 'RETURN_SPIKE' end, case when z > 2 then 'VOLUME_SPIKE' end, case when mv > 1.5 then 'ATR_MOVE' end) reasons, round(abs(ret), 6) return_seen, round(z, 6) volume_seen, round(mv, 6) move_seen from moved where abs(ret) > 2 or z > 2 or mv > 1.5""")
+def atr_alerts(spark, sf_dir):
+    """Alerts with the ATR-normalised move and what was observed."""
+    bars = features.technical(features.volume_scores(features.returns(hours(spark, sf_dir), (1,), 3600)))
+    found = features.alerts(bars.withColumn("atr_move", features.atr_move(bars)), 2.0, 2.0, "v2", max_atr=1.5)
+    seen = {"return_seen": "RETURN_SPIKE", "volume_seen": "VOLUME_SPIKE", "move_seen": "ATR_MOVE"}
+    return rounded(found.select("symbol", "bar_start", F.array_join("reasons", ",").alias("reasons"), *[F.col("observations")[v].alias(k) for k, v in seen.items()]), *seen)
+
+
+SETTLED = ALERTS + ", " + TWO_FEEDS[len(HOUR) + 2 :] + ", settled as (select alert_id, symbol, bar_start, case f.status when 'MATCHED' then 'CONFIRMED' when 'DIVERGED' then 'REJECTED' else 'PRELIMINARY_IEX' end status from alert left join feeds f using (symbol, bar_start) where len(reasons) > 0)"
+
+
+@query(SETTLED + " select alert_id, 'PRELIMINARY_IEX' from_status, status from settled where status <> 'PRELIMINARY_IEX'")
+def alert_transitions(spark, sf_dir):
+    """What settling adds to the history of alerts."""
+    found = found_alerts(spark, sf_dir)
+    return features.transitions(found.select("alert_id", "rule_version", "status"), features.settle_alerts(found, two_feeds(spark, sf_dir), "v1")).select("alert_id", "from_status", "status")
+
+
+@query(SETTLED + " select alert_id, symbol, bar_start from settled where status = 'CONFIRMED' order by bar_start, alert_id")
+def alerts_by_status(spark, sf_dir):
+    settled = features.settle_alerts(found_alerts(spark, sf_dir), two_feeds(spark, sf_dir), "v1")
+    return settled.filter("status = 'CONFIRMED'").orderBy("bar_start", "alert_id").select("alert_id", "symbol", "bar_start")
+
+
+@query("sent as (select *, time + to_milliseconds(((id * 7919) % 5000)::bigint) arrival from trade) select symbol, count(*) events, quantile_cont((epoch_us(arrival) - epoch_us(time)) // 1000, 0.5)::double p50_ms, quantile_cont((epoch_us(arrival) - epoch_us(time)) // 1000, 0.95)::double p95_ms, max(time) last_event, (epoch_us(timestamp '2024-02-01') - epoch_us(max(time))) / 1000000.0::double freshness_seconds from sent group by 1")
+def store_latency(spark, sf_dir):
+    """Latency from event to store and freshness of each symbol."""
+    return fresh_symbols(spark, sf_dir)
+
+
+def fresh_symbols(spark, sf_dir):
+    sent = mapping.trades(spark, sf_dir).withColumn("stored", F.timestamp_micros(F.unix_micros("time") + ((F.col("id") * 7919) % 5000) * 1000))
+    return features.latencies(sent, "time", "stored", ["symbol"], F.lit("2024-02-01").cast("timestamp"))
+
+
+@query("last_ as (select symbol, max(time) last_event from trade group by 1) select symbol, last_event, 'SOURCE_STALE' code from last_ where epoch_us(timestamp '2024-02-01') - epoch_us(last_event) > (select min(epoch_us(timestamp '2024-02-01') - epoch_us(last_event)) from last_ where symbol = 'CLICK')")
+def stale_sources(spark, sf_dir):
+    """Symbols that have been silent for longer than clicks."""
+    fresh = fresh_symbols(spark, sf_dir)
+    limit = fresh.filter("symbol = 'CLICK'").agg(F.max("freshness_seconds")).first()[0]
+    return features.stale(fresh, limit).select("symbol", "last_event", "code")
+
+
+@query("r as (select o_orderkey id, o_orderdate as \"date\", case when o_orderkey % 10 > 0 then o_totalprice::decimal(18,6) end actual, case when o_orderkey % 7 > 0 then (o_totalprice + o_orderkey % 13 - 6)::decimal(18,6) end forecast from orders) select id, \"date\", actual - forecast surprise from r", prices="surprise")
+def macro_surprise(spark, sf_dir):
+    """Orders as releases with an actual value and a forecast, each sometimes missing."""
+    orders = mapping.prepare(spark).read.parquet(f"{sf_dir}/orders.parquet")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    releases = orders.select(key.alias("id"), F.col("o_orderdate").alias("date"), F.when(key % 10 > 0, price.cast("decimal(18,6)")).alias("actual"), F.when(key % 7 > 0, (price + key % 13 - 6).cast("decimal(18,6)")).alias("forecast"))
+    return features.surprises(releases).select("id", "date", "surprise")
+
+
+@query("raw as (select o_orderpriority series, o_orderdate as \"date\", o_orderkey, case when o_orderkey % 10 = 0 then '.' else o_totalprice::varchar end v from orders), one as (select series, \"date\", arg_min(v, o_orderkey) v from raw group by all), n as (select series, \"date\", case when v <> '.' then v::decimal(18,6) end as value from one) select \"date\", max(case when series = '1-URGENT' then value end) - max(case when series = '5-LOW' then value end) spread from n where series in ('1-URGENT', '5-LOW') group by 1", prices="spread")
+def macro_spread(spark, sf_dir):
+    return features.spread(day_values(spark, sf_dir), "1-URGENT", "5-LOW").select("date", "spread")
+
+
+@query("item as (select *, case when id % 3 > 0 then 'http://n/' || user_id || '/' || symbol || '/' || hour(time) end url, case when id % 5 > 0 then '  User ' || user_id || '  did   ' || symbol end headline from trade), a as (select * from item qualify url is null or row_number() over (partition by url order by id) = 1), k as (select *, case when headline is not null then trim(regexp_replace(lower(headline), '\\s+', ' ', 'g')) || '|' || symbol || '|' || (epoch_us(time) // 60000000) end h, sha256(size || '/' || price) c from a), b as (select * from k qualify h is null or row_number() over (partition by h order by id) = 1), d as (select * from b qualify c is null or row_number() over (partition by c order by id) = 1) select id from d")
+def news_chain(spark, sf_dir):
+    """Events as news items: one for each id, address, headline of a source in a minute, and content."""
+    trades = mapping.trades(spark, sf_dir)
+    url = F.when(F.col("id") % 3 > 0, F.concat_ws("/", F.lit("http://n"), "user_id", "symbol", F.hour("time").cast("string")))
+    headline = F.when(F.col("id") % 5 > 0, F.concat(F.lit("  User "), F.col("user_id").cast("string"), F.lit("  did   "), F.col("symbol")))
+    items = trades.withColumn("url", url).withColumn("headline", headline).withColumn("content", F.concat_ws("/", F.col("size").cast("string"), F.col("price").cast("string")))
+    keyed = features.news_keys(items, "headline", "symbol", "time", "content")
+    return features.first_of_each(keyed, [["event_id"], ["url"], ["headline_key"], ["content_key"]], ["id"]).select("id")
+
+
+@query(HOUR + """, point as (select symbol, bar_start, "close"::double / max("close") over (partition by symbol order by bar_start range between interval 1 hour preceding and interval 1 hour preceding)::double - 1 trend from bar), fact as (select symbol, time known_at, (size % 3 - 1)::double mood from trade),
+seen as (select p.symbol, bar_start, trend, known_at, mood from point p asof left join fact f on p.symbol = f.symbol and p.bar_start >= f.known_at)
+select symbol, bar_start, known_at, round((coalesce(trend * 0.4, 0) + coalesce(mood * 0.3, 0)) / nullif(case when trend is null then 0 else 0.4 end + case when mood is null then 0 else 0.3 end, 0)::double, 6) score from seen""")
+def composite_as_of(spark, sf_dir):
+    """The composite from what was known when the hour began: the return of the bar, the mood of the last trade before."""
+    points = features.returns(hours(spark, sf_dir), (1,), 3600).select("symbol", "bar_start", F.col("return_1").alias("trend"))
+    facts = mapping.trades(spark, sf_dir).select("symbol", F.col("time").alias("known_at"), (F.col("size") % 3 - 1).cast("double").alias("mood"))
+    seen = joins.as_of(points, facts, ["symbol"], "bar_start", "known_at", ["known_at", "mood"])
+    return rounded(features.composite(seen, {"trend": 0.4, "mood": 0.3}).select("symbol", "bar_start", "known_at", "score"), "score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +24,16 @@ def market_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Only a local session, which has no other machine, may lack one and
+    gets a temporary one."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-tidemark-"))
+        found = context.getCheckpointDir()
+    return found.rstrip("/")

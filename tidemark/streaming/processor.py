@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     spark: SparkSession = market_session("market-bars")
     bars, invalid = build_streams(log_stream(spark, args.servers, args.topic, args.starting_offsets), [s for s in args.symbols.split(",") if s], args.watermark)
     sink = BarLog(spark, args.bar_table).write_batch if args.bar_table else None
+    spark.streams.resetTerminated()  # queries that ended before in this session don't count
     queries = start(bars, invalid, args.checkpoints, sink, lambda counts: counts.show(truncate=False), args.trigger)
     try:
         spark.streams.awaitAnyTermination(*([args.timeout] if args.timeout else []))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.schemas import BAR_COLUMNS, BAR_CSV, BAR_KEY
 from tidemark.operators.envelope import latest_by
-from tidemark.operators.quality import constraint_violations, duplicate_keys
+from tidemark.operators.quality import constraint_violations, digest_matches, duplicate_keys, export_manifest
 
 
 def guard(bars: DataFrame) -> None:
@@ -67,7 +69,7 @@ class BarLog:
 
 def current_bars(log: DataFrame) -> DataFrame:
     """For each key the bar of the latest commit: the last writer wins, whatever its batch number."""
-    return latest_by(log, BAR_KEY, F.desc("commit_seq"), F.desc("spark_batch_id"))
+    return latest_by(log, BAR_KEY, ["commit_seq", "spark_batch_id"])
 
 
 def publish_options(servers: str, topic: str) -> dict[str, str]:
@@ -96,8 +98,30 @@ def stage_batch(bars: DataFrame, batch_id: int, url: str, staging: str, properti
     bars.select(BAR_COLUMNS).withColumn("spark_batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").jdbc(url, staging, properties=properties)
 
 
-def export_csv(bars: DataFrame, path: str) -> None:
-    """Bars in order as one CSV with a header; an export of nothing is an error."""
+def sink_of(url: str, properties: dict[str, str], run: Callable[[str], None], staging: str = "market_bars_staging") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function bound to a database: stages a batch and has `run` (the driver's connection) take it over.
+
+    The address and its secrets stay inside; neither is part of the plan or logged.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        if batch.limit(1).count():
+            stage_batch(batch, number, url, staging, properties)
+            run(upsert_statement(staging))
+
+    return write
+
+
+def export_csv(bars: DataFrame, path: str, root: str | None = None, expected_sha256: str | None = None) -> DataFrame:
+    """Bars in order as one CSV with a header, and a manifest row: rows, first and last bar, fields, sha256, matches.
+
+    An export of nothing is an error, and so is a path outside `root`. The digest is over the ordered canonical lines;
+    `matches` tells whether it is `expected_sha256` (null without one). For exports that fit in memory.
+    """
+    if root is not None and os.path.commonpath([os.path.realpath(path), os.path.realpath(root)]) != os.path.realpath(root):
+        raise ValueError("an export must stay inside its folder")
     if not bars.limit(1).count():
         raise ValueError("nothing to export")
     bars.select(BAR_CSV.fieldNames()).orderBy("bar_start", "symbol", "source", "feed").coalesce(1).write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ssXXX").csv(path)
+    digest = digest_matches(bars.withColumn("__all", F.lit(True)), expected_sha256, "__all").select("sha256", "matches")
+    return export_manifest(bars).crossJoin(digest)  # one row each
