@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_results import brute_components
@@ -15,7 +16,9 @@ def test_a_hot_list_without_links(spark):
     assert rows == 0
 
 
-def test_two_groups_of_copies_in_one_list(spark):
+@pytest.mark.parametrize("pairs", [0, 8])
+def test_groups_of_copies_in_one_list(spark, monkeypatch, pairs):
+    monkeypatch.setattr(jaccard, "PAIRS", pairs)
     rng = random.Random(8)
     word = lambda: f"w{rng.randrange(10**6)}"
     passage, groups, docs = [word() for _ in range(12)], [[word() for _ in range(30)] for _ in range(3)], []

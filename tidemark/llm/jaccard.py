@@ -28,6 +28,11 @@ KEPT_SETS = 2_000
 BUCKET = 1_000_000
 
 
+#: Pairs to meet for each posting up to which lists are paired at once; beyond, further pivots come first. It saves work
+#: and leaves the result alone.
+PAIRS = 8
+
+
 def needed(a, b):
     """How many shingles sets of a and b must share for a Jaccard similarity of 3/4."""
     return (3 * (a + b) + 6) // 7
@@ -229,23 +234,36 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         told = told.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
         return materialize(told.withColumn("out", F.col("label") != F.coalesce("pivot_label", "pivot")).drop("pivot_label"))
 
-    # those outside get a pivot among themselves, so that a second group of copies in a list isn't paired either
-    outside = beside(lists).filter("out").select("shingle", "s1", "n", "pos")
-    pivots = outside.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
-    links = links.unionByName(materialize(verified(pivots_of(outside.join(pivots, "shingle")))))
-    labels = connected_components(links)
-    joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
-
     # Of a pair the larger set (or the later of equal ones) asks, the other one stands in the list. Among sets no smaller
     # T is at least 6/7 of the one that stands; so either role has a prefix of its own, few of a hot list have the second
     # role, and sizes that can't meet never do: a set of n asks in the classes of sizes from 3 n / 4 to n.
     def size_class(n: Column) -> Column:
         return F.floor(F.log(n.cast("double")) / float(np.log(4 / 3)))
 
-    asks = joined.filter("n - pos >= (3 * n + 3) div 4").withColumn("sizes", F.explode(F.sequence(size_class(F.expr("(3 * n + 3) div 4")), size_class(F.col("n")))))
-    asks = asks.select("shingle", "sizes", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label", "out")])
-    stands = joined.filter("n - pos >= (6 * n + 6) div 7").withColumn("sizes", size_class(F.col("n")))
-    met = asks.join(stands, ["shingle", "sizes"]).filter("(out or u_out) and u_label != label and (u_n > n or u_n = n and u_s1 > s1)").filter(room("u_n", "u_pos", "n", "pos"))
+    def roles(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+        asks = own.filter("n - pos >= (3 * n + 3) div 4").withColumn("sizes", F.explode(F.sequence(size_class(F.expr("(3 * n + 3) div 4")), size_class(F.col("n")))))
+        return asks.select("shingle", "sizes", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label", "out")]), own.filter("n - pos >= (6 * n + 6) div 7").withColumn("sizes", size_class(F.col("n")))
+
+    joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
+    while True:
+        asks, stands = roles(joined)
+        place = ["shingle", "sizes"]
+        per_list = asks.groupBy(place).agg(F.count(F.lit(1)).alias("asks"), F.count(F.when(F.col("u_out"), 1)).alias("asks_out"))
+        per_list = per_list.join(stands.groupBy(place).agg(F.count(F.lit(1)).alias("stands"), F.count(F.when(F.col("out"), 1)).alias("stands_out")), place)
+        to_meet = per_list.agg(F.sum(F.expr("cast(asks_out as double) * stands + cast(asks - asks_out as double) * stands_out"))).first()[0] or 0.0
+        if to_meet <= PAIRS * (joined.count() + 1000):
+            break
+        # a list has another large group: those outside get a pivot among themselves, so that it isn't paired either
+        outside = joined.filter("out").select("shingle", "s1", "n", "pos")
+        pivots = outside.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
+        found = materialize(verified(pivots_of(outside.join(pivots, "shingle"))))
+        if not found.limit(1).count():
+            break
+        links = links.unionByName(found)
+        labels = connected_components(links)
+        joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
+    both_out = asks.filter("u_out").join(stands, place).unionByName(asks.filter("not u_out").join(stands.filter("out"), place))
+    met = both_out.filter("u_label != label and (u_n > n or u_n = n and u_s1 > s1)").filter(room("u_n", "u_pos", "n", "pos"))
     merged = met.groupBy("u_s1", "s1", "u_n", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("u_pos").alias("u_pos"), F.max("pos").alias("pos"))
     more = merged.filter("shared + least(u_n - u_pos, n - pos) - 1 >= (3 * (u_n + n) + 6) div 7").select(F.col("u_s1").alias("a"), F.col("s1").alias("b"))
     links = links.unionByName(materialize(verified(more)))
