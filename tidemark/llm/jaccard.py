@@ -244,15 +244,16 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         asks = own.filter("n - pos >= (3 * n + 3) div 4").withColumn("sizes", F.explode(F.sequence(size_class(F.expr("(3 * n + 3) div 4")), size_class(F.col("n")))))
         return asks.select("shingle", "sizes", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label", "out")]), own.filter("n - pos >= (6 * n + 6) div 7").withColumn("sizes", size_class(F.col("n")))
 
-    joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
+    joined, before = beside(lists.select("shingle", "s1", "n", "pos", "pivot")), float("inf")
     while True:
         asks, stands = roles(joined)
         place = ["shingle", "sizes"]
         per_list = asks.groupBy(place).agg(F.count(F.lit(1)).alias("asks"), F.count(F.when(F.col("u_out"), 1)).alias("asks_out"))
         per_list = per_list.join(stands.groupBy(place).agg(F.count(F.lit(1)).alias("stands"), F.count(F.when(F.col("out"), 1)).alias("stands_out")), place)
         to_meet = per_list.agg(F.sum(F.expr("cast(asks_out as double) * stands + cast(asks - asks_out as double) * stands_out"))).first()[0] or 0.0
-        if to_meet <= PAIRS * (joined.count() + 1000):
+        if to_meet <= PAIRS * (joined.count() + 1000) or to_meet > before / 2:  # few rounds: each must halve the work left
             break
+        before = to_meet
         # a list has another large group: those outside get a pivot among themselves, so that it isn't paired either
         outside = joined.filter("out").select("shingle", "s1", "n", "pos")
         pivots = outside.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
