@@ -16,7 +16,7 @@ def test_a_hot_list_without_links(spark):
     assert rows == 0
 
 
-@pytest.mark.parametrize("pairs", [0, 8])
+@pytest.mark.parametrize("pairs", [0, 100])
 def test_groups_of_copies_in_one_list(spark, monkeypatch, pairs):
     monkeypatch.setattr(jaccard, "PAIRS", pairs)
     rng = random.Random(8)

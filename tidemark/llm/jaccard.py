@@ -30,7 +30,7 @@ BUCKET = 1_000_000
 
 #: Pairs to meet for each posting up to which lists are paired at once; beyond, further pivots come first. It saves work
 #: and leaves the result alone.
-PAIRS = 8
+PAIRS = 0.25
 
 
 def needed(a, b):
