@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, most_frequent, partitions
+from .common import materialize, most_frequent, partitions, with_global_rank
 from .components import connected_components
 from .words import chunks, mix, pack, pack_numbers, shingle_sets, unpack_numbers, utf8
 
@@ -39,6 +39,12 @@ def signature(s: np.ndarray) -> tuple[int, int]:
     return int(mix(u).sum(dtype=np.uint64).astype(np.int64)), int(mix(u ^ np.uint64(0xA5A5A5A5DEADBEEF)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def least_hashes(s: np.ndarray) -> tuple[int, int]:
+    """Two independent min-hashes of a set that isn't empty: similar sets have an equal one with their similarity's odds."""
+    u = s.view(np.uint64)
+    return int(mix(u ^ np.uint64(0x5851F42D4C957F2D)).min().astype(np.int64)), int(mix(u ^ np.uint64(0x14057B7EF767814F)).min().astype(np.int64))
+
+
 def survey(parts):
     """A row for each document (doc_id, hash of the text if it has no id, n, s1, s2), and (shingle, seen) for shingles
     that a batch has more than once."""
@@ -99,10 +105,11 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
 
     component_id is the smallest doc_id that links (Jaccard similarity of at least 3/4) reach; n_copies counts the rows
     with an equal set. Equal sets are one class and compared once. Every list has a pivot, the member with the least
-    ahead of the shared shingle; members are first compared with the pivot that most of their lists name. A member that
-    stays outside its pivot's component is compared with every other member of the list that leaves room for T, so no
-    link between different texts is lost, and members that the pivot joins already aren't paired. Texts of fewer than
-    five words have one shingle; those without words, and null texts, are linked with nothing. Repeated rows are copies
+    ahead of the shared shingle; members are first compared with the pivot that most of their lists name. Those that stay
+    outside its component are compared with pivots of their own, one for each value of a min-hash, so that many groups
+    of near copies in a list come together by one comparison for each member and min-hash. Then members of a list that
+    leave room for T meet if their components differ, so no link that joins components is lost, and members of one
+    component never meet. Texts of fewer than five words have one shingle; those without words, and null texts, are linked with nothing. Repeated rows are copies
     of each other; rows with a null doc_id take part with a null id. Class numbers of 64 bits name the sets in lists.
     """
     spark = docs.sparkSession
@@ -135,10 +142,10 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
                         row, short = ordered(s, heavy, rank)
                         at = np.arange(n - (3 * n + 3) // 4 + 1)
                         posts.append((row[: len(at)], np.full(len(at), len(sets)), at, at >= short))
-                        sets.append((name[0], n))
+                        sets.append((name[0], n, *least_hashes(s)))
             if not sets:
                 continue
-            s1, n = (np.array(x, np.int64) for x in zip(*sets))
+            s1, n, near, near_2 = (np.array(x, np.int64) for x in zip(*sets))
             shingle, owner, pos, is_long = map(np.concatenate, zip(*posts))
             # a short list meets in the bucket of its shingle; rows of long lists pass through in any bucket
             bucket = np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)
@@ -148,27 +155,27 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
             rows = []
             for a, b in zip(edges, edges[1:]):
                 own, place = np.unique(owner[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own])))
+                rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own], near[own], near_2[own])))
             yield pd.DataFrame(rows, columns=["bucket", "long", "n_posts", "n_sets", "packed"])
 
     def meet(p: pd.DataFrame) -> pd.DataFrame:
         """The lists of a bucket that hold different sets, each row with its list's pivot; long lists without."""
         got = []
         for is_long, n_posts, n_sets, packed in zip(p["long"], p["n_posts"], p["n_sets"], p["packed"]):
-            step, place, pos, s1, n = unpack_numbers(packed, [n_posts] * 3 + [n_sets] * 2)
-            got.append((np.cumsum(step), s1[place], n[place], pos, np.full(n_posts, is_long)))
-        shingle, s1, n, pos, is_long = map(np.concatenate, zip(*got))
+            step, place, pos, s1, n, near, near_2 = unpack_numbers(packed, [n_posts] * 3 + [n_sets] * 4)
+            got.append((np.cumsum(step), s1[place], n[place], pos, near[place], near_2[place], np.full(n_posts, is_long)))
+        shingle, s1, n, pos, near, near_2, is_long = map(np.concatenate, zip(*got))
         order = np.lexsort((s1, pos, shingle, is_long))
-        shingle, s1, n, pos, is_long = (x[order] for x in (shingle, s1, n, pos, is_long))
+        shingle, s1, n, pos, near, near_2, is_long = (x[order] for x in (shingle, s1, n, pos, near, near_2, is_long))
         starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (is_long[1:] != is_long[:-1])])
         lists = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(shingle)]))
         differ = (np.minimum.reduceat(s1, starts) < np.maximum.reduceat(s1, starts))[lists] | is_long
         first = starts[lists]
-        out = pd.DataFrame({"shingle": shingle, "s1": s1, "n": n, "pos": pos, "pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first], "long": is_long})[differ]
+        out = pd.DataFrame({"shingle": shingle, "s1": s1, "n": n, "pos": pos, "near": near, "near_2": near_2, "pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first], "long": is_long})[differ]
         return out.drop_duplicates(["shingle", "s1", "long"])
 
     posted = docs.select("text").mapInPandas(post, "bucket long, long boolean, n_posts long, n_sets long, packed binary")
-    met = materialize(posted.groupBy("bucket").applyInPandas(meet, "shingle long, s1 long, n long, pos long, pivot long, pivot_n long, pivot_pos long, long boolean"))
+    met = materialize(posted.groupBy("bucket").applyInPandas(meet, "shingle long, s1 long, n long, pos long, near long, near_2 long, pivot long, pivot_n long, pivot_pos long, long boolean"))
     long = met.filter("long")
     pivots = long.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
     long = long.drop("pivot", "pivot_n", "pivot_pos").join(F.broadcast(pivots), "shingle")  # long_lists rows at most
@@ -223,18 +230,19 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     links = materialize(verified(pivots_of(lists)))
     labels = connected_components(links)
 
-    def beside(own: DataFrame) -> DataFrame:
-        """own, each row with its `label` and whether it is `out` of its pivot's component."""
-        told = own.join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("label", F.coalesce("label", "s1"))
-        told = told.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
-        return materialize(told.withColumn("out", F.col("label") != F.coalesce("pivot_label", "pivot")).drop("pivot_label"))
-
-    # those outside get a pivot among themselves, so that a second group of copies in a list isn't paired either
-    outside = beside(lists).filter("out").select("shingle", "s1", "n", "pos")
-    pivots = outside.groupBy("shingle").agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
-    links = links.unionByName(materialize(verified(pivots_of(outside.join(pivots, "shingle")))))
+    def labelled(own: DataFrame) -> DataFrame:
+        told = own.join(labels.withColumnRenamed("node", "s1"), "s1", "left")
+        return told.withColumn("label", F.coalesce("label", "s1"))
+
+    pivot_labels = labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+    outside = labelled(lists).join(pivot_labels, "pivot", "left").filter(F.col("label") != F.coalesce("pivot_label", "pivot"))
+    outside = materialize(outside.select("shingle", "s1", "n", "pos", "near", "near_2"))
+    for near in ("near", "near_2"):
+        own = outside.select("shingle", "s1", "n", "pos", near)
+        pivots = own.groupBy("shingle", near).agg(F.min(F.struct("pos", "s1", "n")).alias("p")).select("shingle", near, F.col("p.s1").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
+        links = links.unionByName(materialize(verified(pivots_of(own.join(pivots, ["shingle", near])))))
     labels = connected_components(links)
-    joined = beside(lists.select("shingle", "s1", "n", "pos", "pivot"))
+    joined = materialize(labelled(lists.select("shingle", "s1", "n", "pos")))
 
     # Of a pair the larger set (or the later of equal ones) asks, the other one stands in the list. Among sets no smaller
     # T is at least 6/7 of the one that stands; so either role has a prefix of its own, few of a hot list have the second
@@ -243,9 +251,27 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         return F.floor(F.log(n.cast("double")) / float(np.log(4 / 3)))
 
     asks = joined.filter("n - pos >= (3 * n + 3) div 4").withColumn("sizes", F.explode(F.sequence(size_class(F.expr("(3 * n + 3) div 4")), size_class(F.col("n")))))
-    asks = asks.select("shingle", "sizes", *[F.col(c).alias(f"u_{c}") for c in ("s1", "n", "pos", "label", "out")])
     stands = joined.filter("n - pos >= (6 * n + 6) div 7").withColumn("sizes", size_class(F.col("n")))
-    met = asks.join(stands, ["shingle", "sizes"]).filter("(out or u_out) and u_label != label and (u_n > n or u_n = n and u_s1 > s1)").filter(room("u_n", "u_pos", "n", "pos"))
+
+    # Only lists with both roles and two components or more go on. Their components get consecutive numbers, and sets
+    # meet at the highest bit in which the numbers differ: once if the components differ, never if they are the same.
+    def ends(own: DataFrame, who: str) -> DataFrame:
+        return own.groupBy("shingle", "sizes").agg(F.min("label").alias(f"{who}_min"), F.max("label").alias(f"{who}_max"))
+
+    mixed = materialize(ends(asks, "a").join(ends(stands, "s"), ["shingle", "sizes"]).filter("least(a_min, s_min) < greatest(a_max, s_max)").select("shingle", "sizes"))
+    asks, stands = (materialize(own.join(mixed, ["shingle", "sizes"])) for own in (asks, stands))
+    present = asks.select("shingle", "sizes", "label").union(stands.select("shingle", "sizes", "label")).distinct()
+    numbers = materialize(with_global_rank(present, [F.col("shingle"), F.col("sizes"), F.col("label")]).drop("before"))
+    spans = numbers.groupBy("shingle", "sizes").agg(F.min("rank").alias("base"), F.max("rank").alias("top"))
+    numbers = numbers.join(spans, ["shingle", "sizes"]).select("shingle", "sizes", "label", (F.col("rank") - F.col("base")).alias("number"), F.length(F.bin(F.col("top") - F.col("base"))).alias("bits"))
+
+    def at_bits(own: DataFrame, flipped: int) -> DataFrame:
+        """own once for each bit of its component's number, with the bits above (`node`) and the bit as it is asked for."""
+        told = own.join(numbers, ["shingle", "sizes", "label"]).withColumn("bit", F.explode(F.expr("sequence(0, bits - 1)")))
+        return told.withColumn("node", F.expr("shiftright(number, bit + 1)")).withColumn("side", F.expr(f"(shiftright(number, bit) & 1L) ^ {flipped}L")).drop("number", "bits", "label")
+
+    asks = at_bits(asks, 1).withColumnsRenamed({c: f"u_{c}" for c in ("s1", "n", "pos")})
+    met = asks.join(at_bits(stands, 0), ["shingle", "sizes", "bit", "node", "side"]).filter("u_n > n or u_n = n and u_s1 > s1").filter(room("u_n", "u_pos", "n", "pos"))
     merged = met.groupBy("u_s1", "s1", "u_n", "n").agg(F.count(F.lit(1)).alias("shared"), F.max("u_pos").alias("u_pos"), F.max("pos").alias("pos"))
     more = merged.filter("shared + least(u_n - u_pos, n - pos) - 1 >= (3 * (u_n + n) + 6) div 7").select(F.col("u_s1").alias("a"), F.col("s1").alias("b"))
     links = links.unionByName(materialize(verified(more)))
