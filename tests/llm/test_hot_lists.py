@@ -29,6 +29,19 @@ def test_two_groups_of_copies_in_one_list(spark):
     assert got == brute_components(docs)
 
 
+def test_many_groups_of_near_copies_in_one_list(spark):
+    rng = random.Random(31)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage, groups, docs = [word() for _ in range(8)], [[word() for _ in range(34)] for _ in range(12)], []
+    for i in range(240):
+        w = [*passage, *groups[i % 12]]
+        for _ in range(rng.randrange(3)):
+            w[8 + rng.randrange(34)] = word()
+        docs.append((i, " ".join(w)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_components(docs)
+
+
 def test_rows_without_an_id_link_others(spark):
     w = [f"w{i}" for i in range(60)]
     chain = [(None, w), (5, [*w[:52]]), (3, [*w, *(f"v{i}" for i in range(8))]), (None, w), (9, w[30:]), (None, [f"u{i}" for i in range(40)]), (None, [f"u{i}" for i in range(38)])]
