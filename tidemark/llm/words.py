@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -54,16 +52,44 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: What is hashed at once; bounds what a long text takes beside its bytes.
+BLOCK_BYTES = 1 << 19
+IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: A random number for each byte; white space counts nothing.
+BYTES = np.where(IS_SPACE, np.uint64(0), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def weights(n: int) -> np.ndarray:
+    """A random odd number for each place in a word of up to n bytes."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+
+
 def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts one after another, and each text's number of words.
 
-    Words are what white space (U+0020, U+0009 to U+000D) leaves between.
+    Words are what white space (U+0020, U+0009 to U+000D) leaves between. A word's hash is the sum of its bytes'
+    numbers, each times the weight of its place.
     """
-    split = [r.split() for r in raws]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.empty(int(lengths.sum()), dtype=object)
-    flat[:] = list(chain.from_iterable(split))
-    return pd.util.hash_array(flat, categorize=True), lengths
+    b = np.frombuffer(b" ".join(raws), np.uint8)
+    offsets = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    space = IS_SPACE[b]
+    starts = np.flatnonzero(~space & np.r_[True, space[:-1]][: len(b)])
+    lengths = np.diff(np.searchsorted(starts, offsets))
+    out = np.empty(len(starts), np.uint64)
+    if not len(starts):
+        return out, lengths
+    longest = int((np.flatnonzero(~space & np.r_[space[1:], True]) - starts).max()) + 1
+    weight, ends = weights(longest), np.r_[starts[1:], len(b)]
+    cuts = np.unique(np.r_[np.searchsorted(starts, np.arange(0, len(b), BLOCK_BYTES)), len(starts)])
+    for i, j in zip(cuts, cuts[1:]):
+        first = starts[i:j] - starts[i]
+        place = np.arange(ends[j - 1] - starts[i])
+        place -= np.repeat(first, ends[i:j] - starts[i:j])
+        np.minimum(place, longest - 1, out=place)  # white space behind a word
+        values = weight[place]
+        values *= BYTES[b[starts[i] : ends[j - 1]]]
+        out[i:j] = np.add.reduceat(values, first)
+    return mix(out), lengths
 
 
 def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
