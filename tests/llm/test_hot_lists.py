@@ -48,3 +48,11 @@ def test_rows_without_an_id_link_others(spark):
     df = spark.createDataFrame([(k, " ".join(x)) for k, x in chain], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["n_copies"]) for r in jaccard.link_documents(df).collect()), key=str)
     assert got == sorted([(None, 56, 3, 2), (None, 56, 3, 2), (5, 48, 3, 1), (3, 64, 3, 1), (9, 26, 9, 1), (None, 36, None, 1), (None, 34, None, 1)], key=str)
+
+
+def test_texts_that_share_an_id(spark):
+    w = [f"w{i}" for i in range(60)]
+    rows = [(7, w), (7, [f"u{i}" for i in range(40)]), (5, [*w[:58]]), (9, [f"u{i}" for i in range(42)]), (7, w)]
+    df = spark.createDataFrame([(k, " ".join(x)) for k, x in rows], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.link_documents(df).collect())
+    assert got == sorted([(7, 56, 5), (7, 56, 5), (5, 54, 5), (7, 36, 7), (9, 38, 7)])

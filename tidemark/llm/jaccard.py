@@ -46,7 +46,7 @@ def least_hashes(s: np.ndarray) -> tuple[int, int]:
 
 
 def survey(parts):
-    """A row for each document (doc_id, hash of the text if it has no id, n, s1, s2), and (shingle, seen) for shingles
+    """A row for each document (doc_id, hash of the text, n, s1, s2), and (shingle, seen) for shingles
     that a batch has more than once."""
     for p in parts:
         rows, sets, known = [], [], set()
@@ -114,11 +114,11 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     """
     spark = docs.sparkSession
     nameless = F.col("doc_id").isNull()
-    said = F.when(nameless, F.xxhash64("text")).otherwise(0).alias("said")
+    said = F.xxhash64("text").alias("said")
     marked = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), nameless.alias("nameless"), said, "text")  # pandas would make floats of longs with nulls
     both = materialize(marked.mapInPandas(survey, "doc_id long, nameless boolean, said long, n long, s1 long, s2 long, shingle long, seen long"))
-    known = both.filter("shingle is null").select(F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), F.when(F.col("nameless"), F.col("said")).alias("said"), "n", "s1", "s2")
-    classes = materialize(known.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first_id"), F.min("said").alias("said"), F.count(F.lit(1)).alias("n_copies")))
+    known = both.filter("shingle is null").select(F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), "said", "n", "s1", "s2")
+    classes = materialize(known.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first_id"), F.coalesce(F.min_by("said", "doc_id"), F.min("said")).alias("said"), F.count(F.lit(1)).alias("n_copies")))
     seen = materialize(both.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).filter("seen >= 8"))
     top = most_frequent(seen, "seen", long_lists, 8).toPandas()  # long_lists rows at most
     top = top.sort_values("shingle")
@@ -190,21 +190,10 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         return star.groupBy("s1").agg(F.max(F.struct("lists", "pivot")).alias("best")).select(F.col("s1").alias("a"), F.col("best.pivot").alias("b"))
 
     wanted = lists.select("s1").union(lists.select("pivot")).distinct().join(classes, "s1").select("s1", F.col("first_id").alias("doc_id"), "said")
-    texts = pack(docs.filter("doc_id is not null"), ["doc_id"]).join(wanted.drop("said"), "doc_id").select("s1", "packed")
-    nameless = docs.filter("doc_id is null").select("text", F.xxhash64("text").alias("said"))  # met by their text
-    nameless = pack(nameless, ["said"]).join(wanted.filter("doc_id is null").select("s1", "said"), "said").select("s1", "packed").dropDuplicates(["s1"])
-    texts = texts.unionByName(nameless)
-
-    def own_class(parts):
-        """Only rows whose text has the set that is asked for: an id may repeat with other texts."""
-        for p in parts:
-            keep = np.zeros(len(p), bool)
-            for at, raws in chunks(list(p["packed"])):
-                for i, s in enumerate(shingle_sets(raws, WORDS)):
-                    keep[at + i] = len(s) and signature(s)[0] == p["s1"].iloc[at + i]
-            yield p[keep]
-
-    texts = materialize(texts.mapInPandas(own_class, "s1 long, packed binary"))
+    told = docs.select("doc_id", said, "text")  # an id may repeat with other texts, so the text's hash is asked for too
+    texts = pack(told.filter("doc_id is not null"), ["doc_id", "said"]).join(wanted, ["doc_id", "said"]).select("s1", "packed")
+    nameless = pack(told.filter("doc_id is null"), ["said"]).join(wanted.filter("doc_id is null").select("s1", "said"), "said").select("s1", "packed").dropDuplicates(["s1"])
+    texts = materialize(texts.unionByName(nameless))
 
     def decide(parts):
         heavy, _ = held.value
