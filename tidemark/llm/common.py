@@ -63,6 +63,11 @@ def with_global_rank(df: DataFrame, order: list[Column], size: Column | None = N
     )
 
 
+def finite(vector: str) -> Column:
+    """Whether a vector is there and all its components are finite numbers; never null."""
+    return F.coalesce(F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+
+
 def n_words(text: Column) -> Column:
     """How many words a text has; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")

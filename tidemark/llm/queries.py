@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, fingerprints, jaccard, language_model, licenses, mixing, quality, sharding, substrings
+from . import alignment, codebooks, decontamination, extraction, fingerprints, jaccard, language_model, licenses, mixing, neighbours, quality, sharding, substrings
 from .common import table
 
 
@@ -50,7 +50,20 @@ def op10_winnowing(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op7_licence_digests, op8_partial_matching, op9_divide_skip, op10_winnowing)}
+def op11_multiprobe_hashing(spark, sf_dir):
+    found = neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+    return found.select(F.col("vec_id").alias("query_id"), "rank", F.col("near_id").alias("vec_id"), F.col("distance").alias("score"))
+
+
+def op12_anchor_windows(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_grid_cells(spark, sf_dir):
+    return codebooks.encode(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fourier_quality, op2_template_extraction, op3_merkle_fingerprints, op4_hilbert_shards, op5_golden_mix, op6_relative_lempel_ziv, op7_licence_digests, op8_partial_matching, op9_divide_skip, op10_winnowing, op11_multiprobe_hashing, op12_anchor_windows, op13_grid_cells)}
 
 #: Every window of ten item words, held against every window of every document.
 OP10_SQL = r"""
@@ -144,7 +157,30 @@ least_ as (select a, min(b) b from reach group by 1)
 select d.doc_id, coalesce(n, 0) n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) component_id from d left join n using (doc_id) left join least_ on a = d.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_merkle_fingerprints": op3_sql(), "op6_relative_lempel_ziv": OP6_SQL, "op9_divide_skip": OP9_SQL, "op7_licence_digests": op7_sql(), "op10_winnowing": OP10_SQL}
+
+def op13_sql() -> str:
+    """Every part against every entry, a table for each round."""
+
+    def nearest(k: int) -> str:
+        apart = "list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+        return f"near{k} as materialized (select vec_id, label, p, v, min(struct_pack(d := {apart}, j := j)) n from part join book{k} using (p) group by all)"
+
+    def moved(k: int) -> str:
+        added = f"added{k} as (select p, n.j j, i, sum(v[i]) // count(*) - case when sum(v[i]) % count(*) < 0 then 1 else 0 end m from near{k}, unnest(range(1, len(v) + 1)) t(i) group by all)"
+        return f"{added}, means{k} as (select p, j, list(m::bigint order by i) e from added{k} group by all), book{k + 1} as materialized (select p, j, coalesce(m.e, b.e) e from book{k} b left join means{k} m using (p, j))"
+
+    steps = ", ".join(f"{nearest(k)}, {moved(k)}" for k in range(codebooks.ROUNDS)) + ", " + nearest(codebooks.ROUNDS)
+    return f"""
+with kept as (select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+part as materialized (select vec_id, label, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] v from kept, range(4) t(p)),
+book0 as materialized (select p, dense_rank() over (order by vec_id) - 1 j, v e from part where vec_id in (select vec_id from kept order by vec_id limit 256)),
+{steps},
+coded as (select vec_id, label, string_agg(printf('%02x', n.j), '' order by p) code, sum(n.d)::bigint error from near{codebooks.ROUNDS} group by all)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, (select sha256(string_agg(array_to_string(e, ','), ',' order by p, j)) from book{codebooks.ROUNDS}) codebooks_sha256 from coded
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op3_merkle_fingerprints": op3_sql(), "op6_relative_lempel_ziv": OP6_SQL, "op9_divide_skip": OP9_SQL, "op7_licence_digests": op7_sql(), "op10_winnowing": OP10_SQL, "op13_grid_cells": op13_sql()}
 
 import corpus_pipeline  # noqa: E402  it stands at the top of the repository and counts as part of this subpackage
 
