@@ -175,44 +175,6 @@ def rates(events: DataFrame, time: str, payload: str, by: list[str]) -> DataFram
     return peak.join(tens, by).join(sizes, by)
 
 
-def impact(events: DataFrame, bars: DataFrame, minutes: tuple[int, ...] = (5, 30, 60), market: str | None = None) -> DataFrame:
-    """For each event (id, event_time), symbol and window: bars, volume, return and realised volatility before and
-    after, ratios of after to before, and the return beyond that of the symbol `market`.
-
-    Return is last close over first open; volatility the root of the sum of squared log returns of the bars. Coverage is
-    the share of minutes that have a bar. excess_return is null where the market symbol has no return.
-    """
-    from .joins import within
-
-    out = None
-    for m in minutes:
-        met = within(events.withColumn("__one", F.lit(1)), bars.withColumn("__one", F.lit(1)), ["__one"], "event_time", "bar_start", m * 60, m * 60)
-        met = met.withColumn("past", F.col("bar_start") < F.col("event_time"))
-
-        step = F.log(F.col("close").cast("double") / F.col("open").cast("double"))
-
-        def side(past: bool, name: str) -> list[Column]:
-            here = F.col("past") == past
-            first, last = F.min_by(F.when(here, F.col("open").cast("double")), F.when(here, F.col("bar_start"))), F.max_by(F.when(here, F.col("close").cast("double")), F.when(here, F.col("bar_start")))
-            return [F.sum(F.when(here, F.col("volume")).otherwise(0)).alias(f"{name}_volume"), F.sum(here.cast("long")).alias(f"{name}_bars"), (last / first - 1).alias(f"{name}_return"), F.sqrt(F.sum(F.when(here, step * step))).alias(f"{name}_volatility")]
-
-        part = met.groupBy("id", "symbol").agg(*side(True, "pre"), *side(False, "post")).withColumn("minutes", F.lit(m))
-        out = part if out is None else out.unionByName(part)
-    coverage = (F.col("pre_bars") + F.col("post_bars")) / (2 * F.col("minutes"))
-    out = out.withColumn("volume_ratio", F.try_divide(F.col("post_volume").cast("double"), F.col("pre_volume").cast("double"))).withColumn("coverage", coverage.cast("double"))
-    out = out.withColumn("volatility_ratio", F.try_divide("post_volatility", "pre_volatility"))
-    of_market = F.max(F.when(F.col("symbol") == F.lit(market), F.col("post_return"))).over(Window.partitionBy("id", "minutes"))  # the symbols of one event
-    return out.withColumn("excess_return", F.col("post_return") - of_market)
-
-
-def impact_report(impacts: DataFrame, kinds: DataFrame, least_events: int) -> DataFrame:
-    """By kind of event and window: events, mean and median return after, mean coverage, and reason codes."""
-    joined = impacts.join(kinds, "id")
-    out = joined.groupBy("kind", "minutes").agg(F.count_distinct("id").alias("events"), F.avg("post_return").alias("mean_return"), F.percentile("post_return", 0.5).alias("median_return"), F.avg("coverage").alias("coverage"))
-    reasons = F.filter(F.array(F.when(F.col("coverage") < 1, "PARTIAL_MARKET_COVERAGE"), F.when(F.col("events") < least_events, "INSUFFICIENT_EVENT_SAMPLES")), lambda x: x.isNotNull())
-    return out.withColumn("reasons", reasons)
-
-
 def composite(parts: DataFrame, weights: dict[str, float], cut: float = 0.25) -> DataFrame:
     """parts with `score`, the weighted mean of the components at hand (missing ones leave their weight to the others),
     `weight_present`, and the regime by the cut."""
@@ -249,14 +211,18 @@ def news_keys(items: DataFrame, headline: str, source: str, time: str, content:
 
 def first_of_each(rows: DataFrame, keys: list[list[str]], order: list[str]) -> DataFrame:
     """Exact deduplication by one key after another: a row goes if an earlier one has the same key. Null keys match
-    nothing and aren't shuffled. `order` must tell rows apart; firsts are found before the shuffle, so that a hot key
-    comes down to a row for each task."""
+    nothing. `order` must tell rows apart.
+
+    A key is one grouping that keeps the earliest row as a whole, so every step reads its input once; a row with a null
+    in its key is a group of its own. Rows are combined before the shuffle: a hot key is a row for each task.
+    """
+    columns, place = rows.columns, F.struct(*order)
     for key in keys:
         known = F.lit(True)
         for c in key:
             known = known & F.col(c).isNotNull()
-        first = rows.filter(known).groupBy(*key).agg(F.min(F.struct(*order)).alias("__first")).select(*key, *[F.col(f"__first.{c}").alias(c) for c in order if c not in key])
-        rows = rows.filter(known).join(first, list(dict.fromkeys([*key, *order])), "left_semi").unionByName(rows.filter(~known))
+        told = rows.groupBy(F.when(known, F.struct(*key)).alias("__key"), F.when(~known, place).alias("__alone"))
+        rows = told.agg(F.min_by(F.struct(*columns), place).alias("__row")).select("__row.*")
     return rows
 
 

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import timeline
 
-def as_of(points: DataFrame, facts: DataFrame, by: list[str], point_time: str, fact_time: str, columns: list[str]) -> DataFrame:
+
+def as_of(points: DataFrame, facts: DataFrame, by: list[str], point_time: str, fact_time: str, columns: list[str], ranges: int | None = None) -> DataFrame:
     """points with the `columns` of the latest fact of the same key at or before their time; null if there is none.
 
-    Both sides are put on one time line for each key and the last fact is carried forward: a sort instead of a range
-    join. Of facts at one time the largest by `columns` counts. The keys' names must not clash otherwise.
+    Both sides are put on one time line, which is cut into ranges; the last fact of each range is carried over to those
+    behind it. Of facts at one time the largest by `columns` counts; facts without a time are never known, points without
+    one know none. Null keys are equal. The keys' names must not clash otherwise.
     """
-    fact = facts.select(*by, F.col(fact_time).alias("__time"), F.lit(0).alias("__side"), F.struct(*columns).alias("__fact"), F.lit(None).cast(points.schema.simpleString()).alias("__point"))
-    point = points.select(*by, F.col(point_time).alias("__time"), F.lit(1).alias("__side"), F.lit(None).cast(facts.select(F.struct(*columns).alias("x")).schema["x"].dataType).alias("__fact"), F.struct(*points.columns).alias("__point"))
-    line = Window.partitionBy(*by).orderBy("__time", "__side", "__fact").rowsBetween(Window.unboundedPreceding, 0)
-    carried = fact.unionByName(point).withColumn("__last", F.last("__fact", ignorenulls=True).over(line))
-    return carried.filter("__side = 1").select("__point.*", *[F.col(f"__last.{c}").alias(c) for c in columns])
+    kind = facts.select(F.struct(*columns).alias("x")).schema["x"].dataType
+    fact = facts.filter(F.col(fact_time).isNotNull()).select(*by, F.col(fact_time).alias("__time"), F.lit(0).alias("__side"), F.struct(*columns).alias("__fact"), F.lit(None).cast(points.schema.simpleString()).alias("__point"))
+    point = points.select(*by, F.col(point_time).alias("__time"), F.lit(1).alias("__side"), F.lit(None).cast(kind).alias("__fact"), F.struct(*points.columns).alias("__point"))
+    order = ["__time", "__side", "__fact"]
+    line = timeline.running(timeline.in_ranges(fact.unionByName(point), by, order, ranges), by, order, lasts=["__fact"])
+    return line.filter("__side = 1").select("__point.*", *[F.col(f"last___fact.{c}").alias(c) for c in columns])
 
 
 def within(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, before: int, after: int, cell: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as bar_ops
-from tidemark.operators import features, joins
+from tidemark.operators import features, impact, joins, timeline
 from tidemark.operators.envelope import latest_by
 from tidemark.operators.parse import dedup_batch
 
@@ -118,7 +118,7 @@ RATIOS = ["pre_return", "post_return", "volume_ratio", "coverage", "volatility_r
 
 def impacts(spark, sf_dir):
     events = mapping.trades(spark, sf_dir).filter("symbol = 'SIGNUP'").select("id", F.col("time").alias("event_time"))
-    return features.impact(events, mapping.bars(spark, sf_dir), market="VIEW")
+    return impact.impact(events, mapping.bars(spark, sf_dir), mapping.SYMBOLS, market="VIEW")
 
 
 @query(IMPACT + " select id, symbol, minutes, pre_volume, post_volume, pre_bars, post_bars, round(pre_return, 6) pre_return, round(post_return, 6) post_return, round(volume_ratio, 6) volume_ratio, round(coverage, 6) coverage, round(volatility_ratio, 6) volatility_ratio, round(excess_return, 6) excess_return from told")
@@ -129,7 +129,7 @@ def event_impact(spark, sf_dir):
 @query(IMPACT + " select id % 3 kind, minutes, count(distinct id) events, round(avg(post_return), 6) mean_return, round(quantile_cont(post_return, 0.5), 6) median_return, round(avg(coverage), 6) coverage, concat_ws(',', case when avg(coverage) < 1 then 'PARTIAL_MARKET_COVERAGE' end, case when count(distinct id) < 30 then 'INSUFFICIENT_EVENT_SAMPLES' end) reasons from told group by all")
 def impact_by_kind(spark, sf_dir):
     kinds = mapping.trades(spark, sf_dir).filter("symbol = 'SIGNUP'").select("id", (F.col("id") % 3).alias("kind"))
-    return rounded(features.impact_report(impacts(spark, sf_dir), kinds, 30).select("kind", "minutes", "events", "mean_return", "median_return", "coverage", F.array_join("reasons", ",").alias("reasons")), "mean_return", "median_return", "coverage")
+    return rounded(impact.impact_report(impacts(spark, sf_dir), kinds, 30).select("kind", "minutes", "events", "mean_return", "median_return", "coverage", F.array_join("reasons", ",").alias("reasons")), "mean_return", "median_return", "coverage")
 
 
 @query("calm as (select t.id, t.symbol, t.time from trade t where t.symbol = 'CLICK' and not exists (select 1 from trade e where e.symbol = 'ERROR' and t.time >= e.time - interval 5 minute and t.time < e.time + interval 30 minute)) select hour(time)::int \"hour\", count(*) \"rows\" from calm group by 1")
@@ -141,6 +141,40 @@ def matched_baseline(spark, sf_dir):
     return calm.groupBy(F.hour("time").alias("hour")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+CONTROLS = IMPACT + """, span as (select min(bar_start) a, max(bar_start) z from bar),
+drawn as (select id event_id, id || '#' || n id, event_time + to_days(7 * n) event_time from event, (select unnest([-4, -3, -2, -1, 1, 2, 3, 4]) n), span where event_time + to_days(7 * n) between a and z),
+control as (select * from drawn d where not exists (select 1 from event e where d.event_time >= e.event_time - interval 5 minute and d.event_time < e.event_time + interval 5 minute) qualify row_number() over (partition by event_id order by sha256('seed|' || id)) <= 2)"""
+CONTROL_IMPACT = IMPACT.split("met as (")[1].replace("from event e", "from control e").replace("from met", "from cmet").replace("from imp", "from cimp").replace("imp as (", "cimp as (").replace("told as (", "ctold as (")
+
+
+@query(CONTROLS + " select event_id, id, event_time from control")
+def matched_controls(spark, sf_dir):
+    """Two control times for each sign-up: same weekday and minute in other weeks, no sign-up within five minutes."""
+    return drawn_controls(mapping.bars(spark, sf_dir), signups(spark, sf_dir))
+
+
+@query(CONTROLS + ", cmet as (" + CONTROL_IMPACT + """,
+ev as (select id % 3 kind, symbol, minutes, count(*) events, avg(post_return) r, avg(volume_ratio) v, avg(volatility_ratio) s, avg(excess_return) x from told group by all),
+co as (select event_id % 3 kind, symbol, minutes, count(*) controls, avg(post_return) r, avg(volume_ratio) v, avg(volatility_ratio) s, avg(excess_return) x from ctold join control using (id) group by all)
+select kind, symbol, minutes, events, coalesce(controls, 0) controls, round(ev.r, 6) events_post_return, round(ev.v, 6) events_volume_ratio, round(ev.s, 6) events_volatility_ratio, round(ev.x, 6) events_excess_return, round(co.r, 6) controls_post_return, round(co.v, 6) controls_volume_ratio, round(co.s, 6) controls_volatility_ratio, round(co.x, 6) controls_excess_return, round(ev.r - co.r, 6) return_beyond from ev left join co using (kind, symbol, minutes)""")
+def events_against_controls(spark, sf_dir):
+    """The impact of sign-ups held against their matched control windows, by kind of event."""
+    events, bars = signups(spark, sf_dir), timeline.written(mapping.bars(spark, sf_dir))
+    drawn = timeline.written(drawn_controls(bars, events))
+    kinds = events.select("id", (F.col("id") % 3).alias("kind"))
+    told = impact.against_controls(impact.impact(events, bars, mapping.SYMBOLS, market="VIEW"), impact.impact(drawn, bars, mapping.SYMBOLS, market="VIEW"), drawn, kinds)
+    return rounded(told, *[f"{side}_{m}" for side in ("events", "controls") for m in impact.MEASURES], "return_beyond")
+
+
+def signups(spark, sf_dir):
+    return mapping.trades(spark, sf_dir).filter("symbol = 'SIGNUP'").select("id", F.col("time").alias("event_time"))
+
+
+def drawn_controls(bars, events):
+    first, last = bars.agg(F.min("bar_start"), F.max("bar_start")).first()
+    return impact.controls(events, 2, 4, 300, 300, "seed", F.lit(first), F.lit(last))
+
+
 @query("per as (select symbol, epoch_us(time) // 1000000 s, count(*) n, sum(octet_length(time_text::blob))::bigint b from trade group by all), tens as (select symbol, s // 10 t, sum(n) n from per group by all) select p.symbol, sum(p.n)::bigint events, max(p.n) max_per_second, sum(b)::double / sum(p.n) mean_bytes, any_value(q) p95_per_ten_seconds, any_value(z) p95_bytes from per p join (select symbol, quantile_cont(n::double, 0.95) q from tens group by 1) using (symbol) join (select symbol, quantile_cont(octet_length(time_text::blob)::double, 0.95) z from trade group by 1) using (symbol) group by 1")
 def rate_profile(spark, sf_dir):
     return features.rates(mapping.trades(spark, sf_dir), "time", "time_text", ["symbol"]).select("symbol", "events", "max_per_second", "mean_bytes", "p95_per_ten_seconds", "p95_bytes")
