@@ -108,7 +108,11 @@ def reconcile(one: DataFrame, two: DataFrame, tolerance_bps: float, settled_befo
     """Bars of two feeds side by side: status, close_diff_bps, volume_ratio; only bars from before `settled_before`."""
     key = ["symbol", "bar_start", "timeframe"]
     a, b = (df.filter(F.col("bar_start") < settled_before).select(*key, F.col("close").cast("double").alias(f"{n}_close"), F.col("volume").alias(f"{n}_volume")) for df, n in ((one, "iex"), (two, "sip")))
-    both = a.join(b, key, "full")
+    return judged_feeds(a.join(b, key, "full"), tolerance_bps)
+
+
+def judged_feeds(both: DataFrame, tolerance_bps: float) -> DataFrame:
+    """Pairs of bars (iex_close, iex_volume, sip_close, sip_volume) with status, close_diff_bps and volume_ratio."""
     diff = F.abs(F.col("iex_close") - F.col("sip_close")) / F.col("sip_close") * 10_000
     status = F.when(F.col("sip_close").isNull(), "MISSING_SIP").when(F.col("iex_close").isNull(), "MISSING_IEX").when(diff <= tolerance_bps, "MATCHED").otherwise("DIVERGED")
     return both.withColumn("close_diff_bps", diff).withColumn("volume_ratio", F.try_divide(F.col("iex_volume").cast("double"), F.col("sip_volume").cast("double"))).withColumn("status", status)

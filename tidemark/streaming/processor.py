@@ -73,12 +73,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--trigger", default="5 seconds")
     p.add_argument("--timeout", type=int, help="seconds after which all queries stop")
     p.add_argument("--checkpoints", required=True)
+    p.add_argument("--dead-letters", help="folder for keyed records of invalid rows")
     p.add_argument("--bar-table", help="folder of the keyed bar log; without it bars go to the console")
     return p.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     from tidemark.session import market_session
+    from tidemark.streaming.feeds import start_dead_letters
     from tidemark.streaming.sinks import BarLog
 
     args = parse_args(argv)
@@ -87,6 +89,9 @@ def main(argv: list[str] | None = None) -> None:
     sink = BarLog(spark, args.bar_table).write_batch if args.bar_table else None
     spark.streams.resetTerminated()  # queries that ended before in this session don't count
     queries = start(bars, invalid, args.checkpoints, sink, lambda counts: counts.show(truncate=False), args.trigger)
+    if args.dead_letters:
+        # a folder a batch, so that a retry leaves one copy
+        queries.append(start_dead_letters(invalid, args.checkpoints, lambda found, n: found.write.mode("overwrite").parquet(f"{args.dead_letters}/batch={n}"), args.trigger))
     try:
         spark.streams.awaitAnyTermination(*([args.timeout] if args.timeout else []))
     finally:
