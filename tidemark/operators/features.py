@@ -196,13 +196,17 @@ def observations(raw: DataFrame) -> DataFrame:
 
 
 def expired(bars: DataFrame, now: Column, days: int, kept: DataFrame) -> DataFrame:
-    """Bars older than `days`, but for those inside [start, end) of `kept` (symbol, start, end): what retention drops.
+    """Bars older than `days`, but for those inside [start, end) of `kept` (symbol, start, end): what retention drops."""
+    return by_windows(bars.filter(F.col("bar_start") < now - F.make_interval(days=F.lit(days))), kept, "left_anti")
 
-    The exempt windows are joined by the days that they touch."""
-    old = bars.filter(F.col("bar_start") < now - F.make_interval(days=F.lit(days))).withColumn("__day", F.to_date("bar_start"))
-    spans = kept.select("symbol", "start", "end", F.explode(F.sequence(F.to_date("start"), F.to_date("end"))).alias("__day"))
-    safe = (old["symbol"] == spans["symbol"]) & (old["__day"] == spans["__day"]) & (old["bar_start"] >= spans["start"]) & (old["bar_start"] < spans["end"])
-    return old.join(spans, safe, "left_anti").drop("__day")
+
+def by_windows(bars: DataFrame, windows: DataFrame, how: str) -> DataFrame:
+    """Bars inside (left_semi) or outside (left_anti) [start, end) of the windows (symbol, start, end), joined by the
+    days that these touch."""
+    dated = bars.withColumn("__day", F.to_date("bar_start"))
+    spans = windows.select("symbol", "start", "end", F.explode(F.sequence(F.to_date("start"), F.to_date("end"))).alias("__day"))
+    held = (dated["symbol"] == spans["symbol"]) & (dated["__day"] == spans["__day"]) & (dated["bar_start"] >= spans["start"]) & (dated["bar_start"] < spans["end"])
+    return dated.join(spans, held, how).drop("__day")
 
 
 def news_keys(items: DataFrame, headline: str, source: str, time: str, content: str) -> DataFrame:

@@ -24,6 +24,11 @@ def _line(events: DataFrame, bars: DataFrame, minutes: tuple[int, ...], symbols:
     return bar.unionByName(border, allowMissingColumns=True)
 
 
+def events_between(events: DataFrame, start: str, end: str) -> DataFrame:
+    """Events of the half-open period, to be taken before impacts are worked out."""
+    return events.filter((F.col("event_time") >= F.lit(start).cast("timestamp")) & (F.col("event_time") < F.lit(end).cast("timestamp")))
+
+
 def impact(events: DataFrame, bars: DataFrame, symbols: list[str], minutes: tuple[int, ...] = MINUTES, market: str | None = None) -> DataFrame:
     """For each event (id, event_time), symbol and window: bars, volume, return and realised volatility before and
     after, ratios of after to before, and the return beyond that of the symbol `market`.

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.schemas import BAR_COLUMNS, BAR_CSV, BAR_KEY, PRICE
 
+from . import timeline
+
 NULLABLE = {"vwap"}
 
 
@@ -65,6 +67,28 @@ def digest(bars: DataFrame, *by: str) -> DataFrame:
     return lines.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.array_join(ordered, "\n").cast("binary"), 256).alias("sha256"))
 
 
+def tree_digest(bars: DataFrame, *by: str, block: int = 4096) -> DataFrame:
+    """Rows and a SHA-256 over the ordered canonical lines of each group, of any size.
+
+    Lines are cut into runs of `block` by their place in the order; each run has a digest over its lines, and runs of
+    digests have digests in turn until one is left. No string is longer than `block` lines, and the digest doesn't depend
+    on how rows are dealt out. Groups of one run have the digest of `digest`.
+    """
+    order = ["bar_start", "symbol", "source", "feed", "line"]
+    lines = bars.select(*[F.col(c).alias(f"by_{c}") for c in by], *order[:4], canonical_line().alias("line"), F.lit(1).cast("long").alias("one"))
+    key = [f"by_{c}" for c in by]
+    ranked = timeline.running(timeline.in_ranges(lines, key, order), key, order, sums=["one"])
+    level = ranked.select(*key, (F.col("sum_one") - 1).alias("place"), "line", "one")
+    most, rows = None, "one"
+    while most is None or most > 0:
+        run = F.floor(F.col("place") / block)
+        listed = F.transform(F.sort_array(F.collect_list(F.struct("place", "line"))), lambda x: x["line"])
+        told = level.groupBy(*key, run.alias("run")).agg(F.sha2(F.array_join(listed, "\n").cast("binary"), 256).alias("line"), F.sum(rows).alias("rows"))
+        level, rows = timeline.written(told.withColumnRenamed("run", "place")), "rows"
+        most = level.agg(F.max("place")).first()[0] or 0
+    return level.select(*[F.col(k).alias(c) for k, c in zip(key, by)], "rows", F.col("line").alias("sha256"))
+
+
 def digest_matches(bars: DataFrame, expected_sha256: str | None, *by: str) -> DataFrame:
     """digest() with `matches`: whether it is the expected one; null if none is expected."""
     return digest(bars, *by).withColumn("matches", F.col("sha256") == F.lit(expected_sha256).cast("string"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars as bar_ops
-from tidemark.operators import features, impact, joins, timeline
+from tidemark.operators import averages, calendar, features, impact, joins, quality, sketches, timeline
 from tidemark.operators.envelope import latest_by
 from tidemark.operators.parse import dedup_batch
+from tidemark.session import shared_dir
+from tidemark.streaming.store import BarStore
 
 from . import mapping
 from .market import bars_sql, query, vwap_sql
@@ -309,3 +314,66 @@ def composite_as_of(spark, sf_dir):
     facts = mapping.trades(spark, sf_dir).select("symbol", F.col("time").alias("known_at"), (F.col("size") % 3 - 1).cast("double").alias("mood"))
     seen = joins.as_of(points, facts, ["symbol"], "bar_start", "known_at", ["known_at", "mood"])
     return rounded(features.composite(seen, {"trend": 0.4, "mood": 0.3}).select("symbol", "bar_start", "known_at", "score"), "score")
+
+
+@query(HOUR + """, seen as (select symbol, bar_start, list("close"::double) over (partition by symbol order by bar_start) l from bar)
+select symbol, bar_start, round(list_reduce(l, lambda a, x: a * (1 - 2.0::double / 21) + x * (2.0::double / 21)), 6) ema_20, round(list_reduce(l, lambda a, x: a * (1 - 2.0::double / 51) + x * (2.0::double / 51)), 6) ema_50 from seen""")
+def whole_moving_averages(spark, sf_dir):
+    """Averages since the first bar of each series."""
+    found = averages.whole_averages(hours(spark, sf_dir), {"ema_20": 20, "ema_50": 50})
+    return rounded(found.select("symbol", "bar_start", "ema_20", "ema_50"), "ema_20", "ema_50")
+
+
+@query(bars_sql() + """, late as (select symbol, bar_start + interval 60 day t, volume from bar), told as (select *, t - case when t < '2024-03-10 07:00:00' then interval 5 hour else interval 4 hour end as "local" from late),
+named as (select *, "local"::date session_date, hour("local") * 60 + minute("local") m, "local"::date in ('2024-03-28') half from told)
+select session_date, case when dayofweek(session_date) in (0, 6) or session_date in ('2024-03-29') then 'CLOSED' when m between 240 and 569 then 'PRE_MARKET' when m between 570 and case when half then 779 else 959 end then 'REGULAR' when m between case when half then 780 else 960 end and case when half then 1019 else 1199 end then 'AFTER_HOURS' else 'CLOSED' end session, count(*) bars, sum(volume)::bigint volume from named group by all""")
+def calendar_sessions(spark, sf_dir):
+    """Bars, sixty days later so that the clocks change among them, by a calendar with a holiday and an early close."""
+    late = mapping.bars(spark, sf_dir).withColumn("bar_start", F.col("bar_start") + F.expr("interval 60 days"))
+    days = calendar.intervals(spark, "2024-02-26", "2024-04-05", ["2024-03-29"], ["2024-03-28"])
+    return calendar.in_sessions(late, days).groupBy("session_date", "session").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"))
+
+
+LINE = """, line as (select symbol, concat_ws(',', symbol, strftime(bar_start, '%Y-%m-%dT%H:%M:%S+00:00'), '1m', open, high, low, "close", volume, trade_count, coalesce(vwap::varchar, ''), 'driver', 'iex', 'true') x, row_number() over (partition by symbol order by bar_start) - 1 n from bar),
+leaf as (select symbol, n // 256 run, sha256(string_agg(x, chr(10) order by n)) d, count(*) c from line group by all)"""
+
+
+@query(bars_sql() + LINE + " select symbol, sum(c)::bigint as \"rows\", case when count(*) = 1 then any_value(d) else sha256(string_agg(d, chr(10) order by run)) end sha256 from leaf group by 1")
+def bars_tree_digest(spark, sf_dir):
+    """A digest of each symbol's bars in order, over digests of 256 bars."""
+    return quality.tree_digest(mapping.bars(spark, sf_dir), "symbol", block=256)
+
+
+@query("select symbol, count(*) events, true p50_within, true p95_within from trade group by 1")
+def latency_sketches(spark, sf_dir):
+    """Latencies sketched day by day and merged by symbol; whether the quantiles stand within twice the stated error."""
+    sent = mapping.trades(spark, sf_dir).withColumn("ms", ((F.col("id") * 7919) % 5000).cast("double"))
+    days = timeline.written(sketches.sketched(sent.withColumn("day", F.to_date("time")), ["symbol", "day"], "ms"))
+    found = sketches.told(sketches.merged(days, ["symbol"]), {"p50": 0.5, "p95": 0.95})
+    shares = {"p50": 0.5, "p95": 0.95}
+    places = sent.join(found, "symbol").groupBy("symbol", "events").agg(*[F.avg((F.col("ms") <= F.col(c)).cast("double")).alias(c) for c in shares], *[F.avg((F.col("ms") < F.col(c)).cast("double")).alias(f"below_{c}") for c in shares])
+    room = 2 * sketches.rank_error()
+    return places.select("symbol", "events", *[((F.col(f"below_{c}") - room <= s) & (F.col(c) + room >= s)).alias(f"{c}_within") for c, s in shares.items()])
+
+
+@query(bars_sql() + ", kept as (select symbol, time s, time + interval 6 hour e from trade where id % 40 = 0) select symbol, bar_start, \"close\" from bar b where bar_start >= timestamp '2024-01-21' or exists (select 1 from kept k where k.symbol = b.symbol and b.bar_start >= s and b.bar_start < e)", prices="close")
+def retention_applied(spark, sf_dir):
+    """What a bar store holds once two batches are merged and days older than ten days dropped, windows of events apart."""
+    bars = timeline.written(mapping.bars(spark, sf_dir))
+    store = BarStore(spark, f"{shared_dir(spark)}/stores/{uuid.uuid4().hex}", "run")
+    half = F.pmod(F.xxhash64("symbol", "bar_start"), F.lit(2))
+    store.write_batch(bars.filter(half == 0), 0)
+    store.merge()
+    store.write_batch(bars.filter(half == 1), 1)
+    kept = mapping.trades(spark, sf_dir).filter("id % 40 = 0").select("symbol", F.col("time").alias("start"), (F.col("time") + F.expr("interval 6 hours")).alias("end"))
+    store.expire(date(2024, 1, 31), 10, kept)
+    store.vacuum()
+    return store.current().select("symbol", "bar_start", "close")
+
+
+@query(IMPACT + " select i.id, event_time, symbol, minutes, round(post_return, 6) post_return from told i join event using (id) where event_time >= '2024-01-10' and event_time < '2024-01-12' and symbol = 'CLICK'")
+def impacts_in_period(spark, sf_dir):
+    """The impacts on one symbol of the events of a period: only the period's events are asked for."""
+    events = impact.events_between(signups(spark, sf_dir), "2024-01-10", "2024-01-12")
+    found = impact.impact(events, mapping.bars(spark, sf_dir), ["CLICK"])
+    return rounded(found.join(events, "id").select("id", "event_time", "symbol", "minutes", "post_return"), "post_return")
