@@ -34,10 +34,10 @@ KNOWN = [
 
 # SHA-256 of the canonical form of whole licence texts as they are published, by SPDX name.
 DIGESTS = [
-    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
-    ("Apache-2.0", "1d2490e65bade4b7cde700178105759a1eeb6ed401841c01b9ff35e40e55c5ad"),
-    ("Apache-2.0", "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
-    ("Artistic-1.0", "93aa47d57763801ed6e6a6591d4d4049a2c46794df90838023ceade56b569da0"),
+    ("Apache-2.0", "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2"),
+    ("Apache-2.0", "37599287c15c2f2ec060c3c3b55bdf69e3bc7a8aeeb9cd57e18800088789538a"),
+    ("Apache-2.0", "f45538b138cf9aea39fa205de037a0bede8305e68281650e7ab809a8b3ebb2f0"),
+    ("Artistic-1.0", "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
     ("BSD-2-Clause", "eda2ad636e738f6a26a2fea902bb734ee48c789a5b40035b8db3659bd951e5bc"),
     ("BSD-2-Clause", "957c3854a3d72e069e7f5e48857ad9ab76135f14c70d60fa9ec6ef9a928d45dd"),
     ("BSD-2-Clause", "9c47a682ef64c4e02c50c208384916c7f80087d4e4395b2b06e65a4c4b08b152"),
@@ -46,21 +46,24 @@ DIGESTS = [
     ("BSD-3-Clause", "cf77ee3d20f4076cecdb58fc53aa7204c9f5c0651621abbc85e028f5b2ffa6b4"),
     ("BSD-3-Clause", "b6093f80a67d752fa17301d7c8f20fe906e6f11169f3a64f9a5816d148eb738f"),
     ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
-    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
-    ("GPL-1.0", "9caf042595280548f0149ac88169a7f2e04f35b2a642cf00b991f00d48bfa4ce"),
-    ("GPL-2.0", "c230c00f329737cb7ce3d97a266318b4c9d4c1fd321335e592b2ce1112179b88"),
-    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
+    ("EPL-2.0", "f05772ab171c9e3e35b719fee07157d541fd8e2b3217f4cf7a1087fe8f1c5b72"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0", "ec8a6b7d70e9f225b63d3962ed5b4721373f5535d7b967a06722b0d621f6892a"),
+    ("GPL-2.0", "331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
     ("ISC", "217da0747cec63a2e734185db11cbaa819bcd9e5b83cd12f812128fffe66e26a"),
-    ("LGPL-2.0", "b4114daa3dfa52e27e78b2c4e17acd58bf4381e812762f4ded0bcb8eabd1092c"),
-    ("LGPL-2.1", "294fb9ec58649c7eb0cf90fc2900ac1b28b82fb6da9d40d7599d6b7d399d4d2e"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
     ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-1.1", "fbe9a0b96f52e03cb474f9a7083781399c011279e85b548118563ec96e659354"),
-    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
 ]
 
-#: A whole line that states who holds the copyright and since when.
-COPYRIGHT_LINE = r"(?im)^[^\n0-9A-Za-z]*(copyright|\(c\)|©)[^\n]*$"
+#: A line that states who holds the copyright and since when: it begins with the word and has a year or the sign, or
+#: begins with the sign. Lines of a text that only happen to begin with the word stay.
+COPYRIGHT_LINE = r"(?im)^[^\n0-9A-Za-z]*(copyright\b[^\n]*(\(c\)|©|\b(19|20)\d\d\b|<year>|[\[{]yyyy[\]}])|\(c\)[ \t]*((19|20)\d\d|<year>)|©)[^\n]*$"
+
 
 def spelled(text: Column) -> Column:
     """One spelling of each word; words are parted by single spaces."""
