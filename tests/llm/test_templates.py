@@ -110,3 +110,9 @@ def test_classes_by_brute_force(spark):
         valid = {t for t, v in frequent.items() if members[v] >= 2 and max(v) == 1}
         assert set(got[host]["containers"]) == {t for t in valid if "\t" not in t}
         assert set(got[host]["texts"]) == {t for t in valid if "\t" in t}
+
+
+def test_what_is_too_large_to_broadcast_is_shuffled(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(extraction.extract(pages, broadcast_bytes=0)) == rows(extraction.extract(pages))

@@ -25,6 +25,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def within_bytes(df: DataFrame, limit: int) -> bool:
+    """Whether the rows, written out, have `limit` bytes at most: how what may be broadcast is measured."""
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0) <= limit
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, within_bytes
 
 # Element and class names by their meaning in HTML pages.
 DROPPED = {"script", "style", "noscript", "template", "svg", "iframe", "object", "math", "canvas", "select", "textarea", "title", "head"}
@@ -148,6 +148,8 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
+#: What is broadcast at most; more is shuffled.
+BROADCAST_BYTES = 16 << 20
 COUNTED = "host string, content long, token array<string>, times array<long>, chars array<long>, links array<long>, place array<int>"
 
 
@@ -180,7 +182,7 @@ def count_tokens(parts, by_name: bool):
         yield pd.DataFrame([(*k, *v) for k, v in got.items()], columns=["host", "content", "token", "times", "chars", "links", "place"])
 
 
-def templates(pages: DataFrame, broadcast_hosts: int, by_name: bool = True) -> DataFrame:
+def templates(pages: DataFrame, broadcast_bytes: int, by_name: bool = True) -> DataFrame:
     """host -> slots: the containers of the host's template, with `menus` (mostly links), the one that holds `most` of
     the text, and fixed texts.
 
@@ -196,19 +198,19 @@ def templates(pages: DataFrame, broadcast_hosts: int, by_name: bool = True) -> D
     each = distinct.select("host", "content", F.inline(lists))
     vector = F.bit_xor(F.xxhash64("content", "times"))  # nothing cancels, as contents differ
     tokens = each.groupBy("host", "token").agg(F.count(F.lit(1)).alias("pages"), *[F.sum(c).alias(c) for c in ("times", "chars", "links")], vector.alias("vector"), F.max("place").alias("place"))
-    small = hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts
-    spread = F.broadcast if small else lambda by_host: by_host
+    few_hosts = within_bytes(hosts, broadcast_bytes)
     frequent = F.col("pages") >= F.greatest(F.col("host_pages") * FREQUENT, F.least("host_pages", F.lit(2)))
     filled = (F.col("chars") > 0) | (F.col("place") == 2)
-    listed = materialize(tokens.join(spread(hosts), "host").filter(frequent | filled))
+    listed = materialize(tokens.join(F.broadcast(hosts) if few_hosts else hosts, "host").filter(frequent | filled))
     often = listed.filter(frequent)
     classes = often.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"))
     valid = materialize(often.join(classes, ["host", "vector"]).filter("members >= 2 and times = pages").select("host", "token", "host_pages", "place"))
     is_text = F.contains(F.col("token"), F.lit("\t"))
 
     slots = valid.filter(~is_text).groupBy("host").agg(F.collect_list("token").alias("slots"))
+    few_slots = within_bytes(slots, broadcast_bytes)
     around = F.filter("slots", lambda c: (c == F.col("token")) | F.startswith(F.col("token"), F.concat(c, F.lit(INSIDE))))
-    nested = listed.filter(filled).join(spread(slots), "host").select("host", "chars", "links", "place", around.alias("around")).filter(F.size("around") > 0)
+    nested = listed.filter(filled).join(F.broadcast(slots) if few_slots else slots, "host").select("host", "chars", "links", "place", around.alias("around")).filter(F.size("around") > 0)
     innermost = F.array_max("around")  # the longest, as all begin one token
     held = nested.groupBy("host", innermost.alias("token")).agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     guarded = nested.filter("place = 2").select("host", F.explode("around").alias("token")).distinct().withColumn("guarded", F.lit(True))
@@ -217,7 +219,7 @@ def templates(pages: DataFrame, broadcast_hosts: int, by_name: bool = True) -> D
     text_of = text_of.groupBy("host", "token").agg(F.sum("said").alias("said"))
     whole = nested.groupBy("host").agg(F.sum(F.col("chars") - F.col("links")).alias("all"))
     no_leaf = ~F.col("token").rlike(rf"(?:^|{INSIDE})(?:{'|'.join(sorted(HEADINGS_AND_LEAVES))})(?:\.[^{INSIDE}]*)?$")
-    most = text_of.join(spread(whole), "host").filter((F.col("said") >= MOST * F.col("all")) & (F.col("said") > 0) & no_leaf)
+    most = text_of.join(F.broadcast(whole) if few_hosts else whole, "host").filter((F.col("said") >= MOST * F.col("all")) & (F.col("said") > 0) & no_leaf)
     most = most.groupBy("host").agg(F.max_by("token", F.length("token")).alias("most"))
     outside_links = F.struct(F.col("chars") - F.col("links"), F.col("token"))
     return (
@@ -227,11 +229,11 @@ def templates(pages: DataFrame, broadcast_hosts: int, by_name: bool = True) -> D
             F.collect_list(F.when(~is_text, F.col("token"))).alias("containers"),
             F.collect_list(F.when(is_text & (F.col("place") == 0) & (F.col("host_pages") >= 4), F.col("token"))).alias("texts"),
         ).select("host", F.filter("menus", lambda m: ~m.eqNullSafe(F.col("body"))).alias("menus"), "containers", "texts")
-        .join(spread(most), "host", "left")
+        .join(F.broadcast(most) if few_slots else most, "host", "left")  # a slot for each host
     )
 
 
-def extract(pages: DataFrame, broadcast_hosts: int = 20_000, by_name: bool = True) -> DataFrame:
+def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, by_name: bool = True) -> DataFrame:
     """A row for each row of pages: page_id, url, text, n_chars.
 
     Pages of a host share a template; each block belongs to the innermost template container around it, its slot.
@@ -246,9 +248,8 @@ def extract(pages: DataFrame, broadcast_hosts: int = 20_000, by_name: bool = Tru
     host's pages stay spread: only counts are gathered by host.
     """
     base = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    known = materialize(templates(base.select("host", "html"), broadcast_hosts, by_name))
-    small = known.limit(broadcast_hosts + 1).count() <= broadcast_hosts
-    told = base.join(F.broadcast(known) if small else known, "host", "left")
+    known = materialize(templates(base.select("host", "html"), broadcast_bytes, by_name))
+    told = base.join(F.broadcast(known) if within_bytes(known, broadcast_bytes) else known, "host", "left")
 
     def pick(parts):
         for p in parts:

@@ -89,7 +89,7 @@ def fold(doc_id: Column, n: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 60_000, n_features: int = 300, width: float = 4.0, ridge: float = 1e-4, bins: int = 4096, seed: int = 11) -> Model:
     """Learn from about `max_rows` labelled rows at most (a bound on the sample of labels, taken by hash of doc_id).
 
-    Rows whose crc32(doc_id) mod 5 is 0 are never seen; those with 1 only calibrate; the rest fit the weights. Every
+    Rows whose crc32(doc_id) mod 5 is 0 are never seen, nor rows without a doc_id (held_out is null for these); those with 1 only calibrate; the rest fit the weights. Every
     partition sums its normal equations and sends one matrix; calibration sees bins of scores. Labels other than 0 and
     1 are left out; without any label of both kinds the model scores all texts with the share of ones (0.5 if none).
     """
@@ -155,7 +155,7 @@ def classify(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
     """docs with `score` (calibrated probability of label 1) and `predicted` (1 if score >= threshold).
 
     Scores come from the text alone. Null and empty texts have the statistics 0 and a score like any other; equal texts
-    have equal scores; all columns of docs stay.
+    have equal scores. The other columns of docs stay; columns named `score` or `predicted` are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # some hundred KB
 
