@@ -377,3 +377,12 @@ def impacts_in_period(spark, sf_dir):
     events = impact.events_between(signups(spark, sf_dir), "2024-01-10", "2024-01-12")
     found = impact.impact(events, mapping.bars(spark, sf_dir), ["CLICK"])
     return rounded(found.join(events, "id").select("id", "event_time", "symbol", "minutes", "post_return"), "post_return")
+
+
+@query(bars_sql() + """, bent as (select symbol, bar_start, high, case when symbol = 'VIEW' then open::decimal(38,6) * 10000000000 else open::decimal(38,6) end open, symbol = 'CLICK' no_volume from bar),
+told as (select symbol, bar_start, list_filter([case when no_volume then 'VOLUME_NULL' end, case when high < open then 'HIGH_BELOW_OTHERS' end, case when open >= 1000000000000 then 'OPEN_PRECISION' end], lambda x: x is not null) v from bent) select symbol, bar_start, array_to_string(v, ',') violations from told where len(v) > 0""")
+def constraint_breaks(spark, sf_dir):
+    """Bars without a volume, and with prices too large for their type, with the constraints that they break."""
+    open_ = F.col("open").cast("decimal(28,6)")
+    bent = mapping.bars(spark, sf_dir).withColumn("open", F.when(F.col("symbol") == "VIEW", open_ * F.lit(10_000_000_000)).otherwise(open_)).withColumn("volume", F.when(F.col("symbol") != "CLICK", F.col("volume")))
+    return quality.constraint_violations(bent).select("symbol", "bar_start", F.array_join("violations", ",").alias("violations"))
