@@ -119,6 +119,22 @@ def covered(places: Column) -> Column:
     return F.aggregate(places, F.struct(zero.alias("reach"), zero.alias("words")), step)["words"]
 
 
+def named_items(hits: DataFrame, items: DataFrame, sayings: DataFrame) -> DataFrame:
+    """key, n_items, items_sha256: the items whose windows occur in a document.
+
+    Documents with the same windows have the same items, so items are looked up once for each set of windows: a window
+    that many documents and many items share, such as a standing phrase, meets its items once for each set.
+    """
+    name = F.sha2(F.col("win").cast("binary"), 256)
+    sets = hits.groupBy("key").agg(F.sort_array(F.collect_set(name)).alias("wins"))
+    sets = materialize(sets.withColumn("set", F.sha2(F.array_join("wins", "").cast("binary"), 256)))
+    said = sayings.select("said", F.explode(item_windows(F.col("words"))).alias("win")).select("said", name.alias("name"))
+    named = sets.dropDuplicates(["set"]).select("set", F.explode("wins").alias("name")).join(said, "name").select("set", "said").distinct().join(items.select("said", "item_id"), "said")
+    named = named.groupBy("set").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    named = named.select("set", F.array_size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    return sets.select("key", "set").join(named, "set").drop("set")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -136,11 +152,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sayings = materialize(sayings)
     hits = materialize(find_windows(base.select("key", "text"), sayings))
     places = hits.groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("places")).select("key", covered(F.col("places")).alias("n_hit"))
-    said = sayings.select("said", F.explode(item_windows(F.col("words"))).alias("win"))
-    named = hits.select("key", "win").distinct().join(said, "win").select("key", "said").distinct().join(items.select("said", "item_id"), "said")
-    named = named.groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    named = named.select("key", F.array_size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
-    per_doc = places.join(named, "key")
+    per_doc = places.join(named_items(hits, items, sayings), "key")
     counted = base.select("doc_id", "key", F.regexp_count(ascii_lower(F.col("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long").alias("n_words"))
     return counted.join(per_doc, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
