@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, most_frequent
+from .common import join_counted, materialize, most_frequent
 from .words import CHUNK_BYTES, run_hashes, word_hashes
 
 WINDOW, GRAM = 20, 8
@@ -231,9 +231,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.coalesce("doc_id", F.lit(NAMELESS)).cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     ids = materialize(base.select("doc_id", "text_hash").distinct())
-    first = ids.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
-    status = materialize(ids.join(first, "text_hash"))
-    runs = repeated_runs(base, first)
+    first = materialize(ids.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
+    status = materialize(join_counted(ids, first, ["text_hash"], "copies"))
+    runs = repeated_runs(base, first.drop("copies"))
     runs = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n", "ref", "ref_at")).alias("runs"))
     own = status.join(runs, ["doc_id", "text_hash"], "left")
     told = base.join(own, ["doc_id", "text_hash"]).select("doc_id", "text", "first_id", "runs")
