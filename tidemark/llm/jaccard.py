@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, most_frequent, partitions, with_global_rank
+from .common import join_counted, materialize, most_frequent, partitions, with_global_rank
 from .components import connected_components
 from .words import chunks, mix, pack, pack_numbers, shingle_sets, unpack_numbers, utf8
 
@@ -292,7 +292,7 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     labels = connected_components(links)
     named = classes.join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("label", F.coalesce("label", "s1"))
     named = materialize(named)
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "label").select("s1", "s2", "n", "component_id", "n_copies")
-    found = known.filter("n > 0").join(named, ["s1", "s2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies")
+    smallest = materialize(named.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("members")))
+    named = materialize(join_counted(named, smallest, ["label"], "members").select("s1", "s2", "n", "component_id", "n_copies", F.col("n_copies").alias("rows")))
+    found = join_counted(known.filter("n > 0"), named, ["s1", "s2", "n"], "rows").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_copies")
     return found.unionByName(known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies")))
