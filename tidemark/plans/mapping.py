@@ -44,7 +44,12 @@ def _envelope(payload: list, **other):
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """value and offset of clean event records."""
-    return trades(spark, sf_dir).select(_envelope(_payload()).alias("value"), F.col("id").alias("offset"))
+    return records_by_user(spark, sf_dir).drop("partition")
+
+
+def records_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with `partition`, 0 for users with even ids."""
+    return trades(spark, sf_dir).select(_envelope(_payload()).alias("value"), F.col("id").alias("offset"), (F.col("user_id") % 2).cast("int").alias("partition"))
 
 
 def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +91,11 @@ def pages(spark: SparkSession, sf_dir: str, ids_per_page: int = 500) -> DataFram
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_valid_invalid(validate_trades(parse_events(records(spark, sf_dir)), SYMBOLS))[0]
+    return valid_of(records(spark, sf_dir))
+
+
+def valid_of(records: DataFrame) -> DataFrame:
+    return split_valid_invalid(validate_trades(parse_events(records), SYMBOLS))[0]
 
 
 def bars(spark: SparkSession, sf_dir: str, duration: str = "1 minute", timeframe: str = "1m") -> DataFrame:
