@@ -38,9 +38,22 @@ def within(left: DataFrame, right: DataFrame, by: list[str], left_time: str, rig
 
 
 def without_near(df: DataFrame, events: DataFrame, by: list[str], time: str, event_time: str, before: int, after: int) -> DataFrame:
-    """Rows of df that no event of their key is near: those outside [event - before, event + after). df needs an `id`."""
-    near = within(events, df.select(*by, time, "id"), by, event_time, time, before, after).select("id").distinct()
-    return df.join(near, "id", "left_anti")
+    """Rows of df that no event of their key is near: those outside [event - before, event + after).
+
+    Events near a row lie behind its time - after and not behind its time + before. Time is cut into cells as wide as
+    that; it begins in one cell and ends in the next, so one lies there if the last event of the first cell does or the
+    first event of the next one. A cell is a row, however many events it has, and a row of df meets one.
+    """
+    width = (before + after) * 1_000_000
+    if width <= 0:
+        return df
+    cell = lambda at: at - F.pmod(at, F.lit(width))
+    at, none = F.unix_micros(event_time), F.lit(None).cast("long")
+    roles = F.array(F.struct(cell(at).alias("cell"), at.alias("last"), none.alias("first")), F.struct((cell(at) - width).alias("cell"), none.alias("last"), at.alias("first")))
+    told = events.select(*by, F.explode(roles).alias("r")).groupBy(*by, F.col("r.cell").alias("__cell")).agg(F.max("r.last").alias("__last"), F.min("r.first").alias("__first"))
+    start = F.unix_micros(time) - after * 1_000_000
+    near = (F.col("__last") > start) | (F.col("__first") <= start + width)
+    return df.withColumn("__cell", cell(start)).join(told, [*by, "__cell"], "left").filter(~F.coalesce(near, F.lit(False))).select(*df.columns)
 
 
 def seconds(time: str) -> Column:
