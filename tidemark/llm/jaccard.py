@@ -29,6 +29,8 @@ KEPT_SETS = 2_000
 MAPS = ["m0", "m1", "m2", "m3"]
 #: Postings of a bucket of lists, about: what a task merges at once.
 BUCKET = 1_000_000
+#: Postings that a task packs at once, beyond them a text's: bounds what a batch of long texts takes.
+POSTS = 200_000
 
 
 def needed(a, b):
@@ -149,11 +151,26 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
     postings = known.agg(F.sum(F.expr("n - (3 * n + 3) div 4 + 1"))).first()[0] or 0
     buckets = max(partitions(spark), -(-postings // BUCKET))
 
+    def packed_lists(sets, posts) -> pd.DataFrame:
+        """Rows of post() for some sets (s1, n, min-hashes) and their postings."""
+        s1, n, near, near_2 = (np.array(x, np.int64) for x in zip(*sets))
+        shingle, owner, pos, is_long = map(np.concatenate, zip(*posts))
+        # a short list meets in the bucket of its shingle; rows of long lists pass through in any bucket
+        bucket = np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)
+        order = np.lexsort((shingle, is_long, bucket))
+        shingle, owner, pos, is_long, bucket = (x[order] for x in (shingle, owner, pos, is_long, bucket))
+        edges = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (is_long[1:] != is_long[:-1]), True])
+        rows = []
+        for a, b in zip(edges, edges[1:]):
+            own, place = np.unique(owner[a:b], return_inverse=True)
+            rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own], near[own], near_2[own])))
+        return pd.DataFrame(rows, columns=["bucket", "long", "n_posts", "n_sets", "packed"])
+
     def post(parts):
         """Rows (bucket, long, n_posts, n_sets, packed) for the prefixes of the distinct sets of a batch."""
         heavy, rank = held.value
         for p in parts:
-            done, sets, posts = set(), [], []
+            done, sets, posts, held_posts = set(), [], [], 0
             for _, raws in chunks(list(p["text"])):
                 for s in shingle_sets(raws, WORDS):
                     if len(s) and (name := signature(s)) not in done:
@@ -161,22 +178,14 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
                         n = len(s)
                         row, short = ordered(s, heavy, rank)
                         at = np.arange(n - (3 * n + 3) // 4 + 1)
-                        posts.append((row[: len(at)], np.full(len(at), len(sets)), at, at >= short))
+                        posts.append((row[: len(at)].copy(), np.full(len(at), len(sets)), at, at >= short))
                         sets.append((name[0], n, *least_hashes(s)))
-            if not sets:
-                continue
-            s1, n, near, near_2 = (np.array(x, np.int64) for x in zip(*sets))
-            shingle, owner, pos, is_long = map(np.concatenate, zip(*posts))
-            # a short list meets in the bucket of its shingle; rows of long lists pass through in any bucket
-            bucket = np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)
-            order = np.lexsort((shingle, is_long, bucket))
-            shingle, owner, pos, is_long, bucket = (x[order] for x in (shingle, owner, pos, is_long, bucket))
-            edges = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (is_long[1:] != is_long[:-1]), True])
-            rows = []
-            for a, b in zip(edges, edges[1:]):
-                own, place = np.unique(owner[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own], near[own], near_2[own])))
-            yield pd.DataFrame(rows, columns=["bucket", "long", "n_posts", "n_sets", "packed"])
+                        held_posts += len(at)
+                        if held_posts >= POSTS:
+                            yield packed_lists(sets, posts)
+                            sets, posts, held_posts = [], [], 0
+            if sets:
+                yield packed_lists(sets, posts)
 
     def meet(p: pd.DataFrame) -> pd.DataFrame:
         """The lists of a bucket that hold different sets, each row with its list's pivot; long lists without."""
@@ -190,8 +199,9 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (is_long[1:] != is_long[:-1])])
         lists = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(shingle)]))
         differ = (np.minimum.reduceat(s1, starts) < np.maximum.reduceat(s1, starts))[lists] | is_long
-        first = starts[lists]
-        out = pd.DataFrame({"shingle": shingle, "s1": s1, "n": n, "pos": pos, "near": near, "near_2": near_2, "pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first], "long": is_long})[differ]
+        first = starts[lists[differ]]
+        pivots = {"pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first]}
+        out = pd.DataFrame({"shingle": shingle[differ], "s1": s1[differ], "n": n[differ], "pos": pos[differ], "near": near[differ], "near_2": near_2[differ], **pivots, "long": is_long[differ]})
         return out.drop_duplicates(["shingle", "s1", "long"])
 
     posted = docs.select("text").mapInPandas(post, "bucket long, long boolean, n_posts long, n_sets long, packed binary")
