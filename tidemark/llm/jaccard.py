@@ -18,19 +18,21 @@ from pyspark.sql import functions as F
 
 from .common import join_counted, materialize, most_frequent, partitions, with_global_rank
 from .components import connected_components
-from .words import chunks, mix, pack, pack_numbers, shingle_sets, unpack_numbers, utf8
+from .words import CHUNK_BYTES, chunks, mix, pack, pack_numbers, shingle_lists, shingle_sets, unpack_numbers, utf8
 
 WORDS = 5
 #: So many of the most frequent shingles count as long lists. It bounds what is broadcast; the result doesn't depend on it.
 LONG_LISTS = 100_000
 #: Sets that a task keeps while it decides pairs.
 KEPT_SETS = 2_000
+#: Pairs, or those with CHUNK_BYTES of new texts, that a task decides at once.
+DECIDED = 200
 #: Columns of a set's parity map.
 MAPS = ["m0", "m1", "m2", "m3"]
 #: Postings of a bucket of lists, about: what a task merges at once.
 BUCKET = 1_000_000
-#: Postings that a task packs at once, beyond them a text's: bounds what a batch of long texts takes.
-POSTS = 200_000
+#: Postings that a task packs at once, beyond them those of so many bytes of text, or of one text: bounds what a batch of long texts takes.
+POSTS, POSTED_BYTES = 200_000, 1 << 20
 
 
 def needed(a, b):
@@ -38,16 +40,27 @@ def needed(a, b):
     return (3 * (a + b) + 6) // 7
 
 
-def signature(s: np.ndarray) -> tuple[int, int]:
-    """Two independent sums over a set: 128 bits that tell sets apart."""
-    u = s.view(np.uint64)
-    return int(mix(u).sum(dtype=np.uint64).astype(np.int64)), int(mix(u ^ np.uint64(0xA5A5A5A5DEADBEEF)).sum(dtype=np.uint64).astype(np.int64))
+def starts_of(sizes: np.ndarray) -> np.ndarray:
+    """Where each of some sets, none of them empty, starts if they lie one after another."""
+    return np.cumsum(sizes) - sizes
 
 
-def least_hashes(s: np.ndarray) -> tuple[int, int]:
-    """Two independent min-hashes of a set that isn't empty: similar sets have an equal one with their similarity's odds."""
-    u = s.view(np.uint64)
-    return int(mix(u ^ np.uint64(0x5851F42D4C957F2D)).min().astype(np.int64)), int(mix(u ^ np.uint64(0x14057B7EF767814F)).min().astype(np.int64))
+def signatures(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent sums over each set: 128 bits that tell sets apart. No set is empty."""
+    if not len(sizes):
+        return (np.zeros(0, np.int64),) * 2
+    u, starts = flat.view(np.uint64), starts_of(sizes)
+    return tuple(np.add.reduceat(mix(x), starts).view(np.int64) for x in (u, u ^ np.uint64(0xA5A5A5A5DEADBEEF)))
+
+
+def least_hashes(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32 bits of two independent min-hashes of each set: similar sets have an equal one with their similarity's odds.
+
+    No set is empty. They only choose pivots, so that a few sets with other min-hashes share a number changes no result.
+    """
+    u, starts = flat.view(np.uint64), starts_of(sizes)
+    least = (np.minimum.reduceat(mix(u ^ np.uint64(x)), starts) for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
+    return tuple((x & np.uint64(0xFFFFFFFF)).astype(np.int64) for x in least)
 
 
 def parities(s: np.ndarray) -> np.ndarray:
@@ -56,15 +69,21 @@ def parities(s: np.ndarray) -> np.ndarray:
     A shingle that only one of two sets has changes one bit, so two maps differ in no more bits than their sets in
     shingles. Sets of n shingles that reach 3/4 differ in a seventh of both sizes at most.
     """
-    group = (mix(s.view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(255)).astype(np.int64)
-    return np.packbits((np.bincount(group, minlength=256) & 1).astype(np.uint8)).view(np.int64)
+    return all_parities(s, np.array([len(s)]))[0]
+
+
+def all_parities(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The parity map of each of some sets that lie one after another."""
+    group = (mix(flat.view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(255)).astype(np.int64)
+    counts = np.bincount(np.repeat(256 * np.arange(len(sizes)), sizes) + group, minlength=256 * len(sizes))
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).reshape(-1, 4)
 
 
 def parity_maps(parts):
     """Rows (s1, m0 to m3) for rows (s1, packed)."""
     for p in parts:
-        maps = [parities(s) for _, raws in chunks(list(p["packed"])) for s in shingle_sets(raws, WORDS)]
-        yield pd.DataFrame(np.array(maps, np.int64).reshape(-1, 4), columns=MAPS).assign(s1=p["s1"].to_numpy())[["s1", *MAPS]]
+        maps = [all_parities(*shingle_lists(raws, WORDS)) for _, raws in chunks(list(p["packed"]))]
+        yield pd.DataFrame(np.concatenate([np.zeros((0, 4), np.int64), *maps]), columns=MAPS).assign(s1=p["s1"].to_numpy())[["s1", *MAPS]]
 
 
 def survey(parts):
@@ -72,29 +91,56 @@ def survey(parts):
     that a batch has more than once."""
     for p in parts:
         rows, sets, known = [], [], set()
-        for at, raws in chunks(list(p["text"])):
-            for i, s in enumerate(shingle_sets(raws, WORDS)):
-                s1, s2 = signature(s)
-                rows.append((len(s), s1, s2))
-                if (s1, s2) not in known:
-                    known.add((s1, s2))
-                    sets.append(s)
-        n, s1, s2 = (np.array(x, np.int64) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
+        for _, raws in chunks(list(p["text"])):
+            flat, sizes = shingle_lists(raws, WORDS)
+            told = np.zeros((len(sizes), 3), np.int64)
+            told[:, 0] = sizes
+            told[sizes > 0, 1], told[sizes > 0, 2] = signatures(flat, sizes[sizes > 0])
+            rows.append(told)
+            new = np.array([not (name in known or known.add(name)) for name in map(tuple, told[:, 1:].tolist())], bool)
+            sets.append(flat[np.repeat(new, sizes)])
+        n, s1, s2 = np.concatenate(rows).T if rows else (np.zeros(0, np.int64),) * 3
         yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(), "nameless": p["nameless"].to_numpy(), "said": p["said"].to_numpy(), "n": n, "s1": s1, "s2": s2, "shingle": pd.array([pd.NA] * len(n), "Int64"), "seen": 0})
         u, c = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64),) * 2
         u, c = u[c > 1], c[c > 1]
         yield pd.DataFrame({"doc_id": 0, "nameless": False, "said": 0, "n": 0, "s1": 0, "s2": 0, "shingle": u, "seen": c})
 
 
-def ordered(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
-    """The set in the common order, and how many of it are in short lists. heavy: sorted; rank: its order."""
-    if not len(heavy):
-        return s, len(s)
-    at = np.searchsorted(heavy, s)
+#: Values of the highest 21 bits of a shingle: which of them long lists have tells most other shingles from them.
+SIEVE = 1 << 21
+
+
+def sieve_of(heavy: np.ndarray) -> np.ndarray:
+    sieve = np.zeros(SIEVE, bool)
+    sieve[heavy.view(np.uint64) >> np.uint64(43)] = True
+    return sieve
+
+
+def prefixes(flat: np.ndarray, sizes: np.ndarray, heavy: np.ndarray, rank: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle, set, place and whether it is a long list, for all but the L last lists of each set in the common order.
+
+    No set is empty. heavy: the long lists, sorted; rank: their order; sieve: of heavy.
+    """
+    wanted, owner = sizes - (3 * sizes + 3) // 4 + 1, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    is_long, maybe = np.zeros(len(flat), bool), np.flatnonzero(sieve[flat.view(np.uint64) >> np.uint64(43)])
+    at = np.searchsorted(heavy, flat[maybe])
     at[at == len(heavy)] = 0
-    is_heavy = heavy[at] == s
-    last = s[is_heavy][np.argsort(rank[at[is_heavy]], kind="stable")]
-    return np.concatenate([s[~is_heavy], last]), len(s) - len(last)
+    sure = heavy[at] == flat[maybe] if len(heavy) else np.zeros(0, bool)
+    maybe, at = maybe[sure], at[sure]
+    is_long[maybe] = True
+    n_long = np.bincount(owner[maybe], minlength=len(sizes))
+    n_short = sizes - n_long
+    short = np.flatnonzero(~is_long)
+    short = short[np.arange(len(short)) - np.repeat(starts_of(n_short), n_short) < np.repeat(wanted, n_short)]
+    n_short = np.minimum(n_short, wanted)
+    place = np.arange(len(short)) - np.repeat(starts_of(n_short), n_short)
+    order = np.lexsort((rank[at], owner[maybe]))
+    long = maybe[order]
+    behind = np.arange(len(long)) + np.repeat(sizes - n_long - starts_of(n_long), n_long)
+    near = behind < np.repeat(wanted, n_long)
+    long, behind = long[near], behind[near]
+    both = np.concatenate([short, long])
+    return flat[both], owner[both].astype(np.int64), np.concatenate([place, behind]), is_long[both]
 
 
 def similar(a: np.ndarray, b: np.ndarray, heavy: np.ndarray) -> bool:
@@ -105,21 +151,31 @@ def similar(a: np.ndarray, b: np.ndarray, heavy: np.ndarray) -> bool:
     if len(a) > len(b):
         a, b = b, a
 
-    def is_long(x: np.ndarray) -> np.ndarray:
-        if not len(heavy):
+    def found(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of x are in y, which is sorted."""
+        if not len(y):
             return np.zeros(len(x), bool)
-        at = np.searchsorted(heavy, x)
-        at[at == len(heavy)] = 0
-        return heavy[at] == x
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        return y[at] == x
 
-    long_a = is_long(a)
+    long_a = found(a, heavy)
     short, probes = a[~long_a], a[long_a]
-    got = len(np.intersect1d(short, b, assume_unique=True))
+    merged = np.concatenate([short, b])
+    merged.sort()
+    got = int(np.count_nonzero(merged[1:] == merged[:-1]))
     if got + len(probes) < t:
         return False
-    at = np.searchsorted(b, probes)
-    at[at == len(b)] = 0
-    return got + int((b[at] == probes).sum()) >= t
+    return got + int(np.count_nonzero(found(probes, b))) >= t
+
+
+def decided(pairs: list[tuple[int, int]], raws: dict[int, bytes], sets: dict[int, np.ndarray], heavy: np.ndarray) -> list[bool]:
+    """Which pairs are similar. raws: the texts whose sets aren't in `sets` yet; of these the last ones are kept."""
+    sets |= {name: s.copy() for name, s in zip(raws, shingle_sets(list(raws.values()), WORDS))}
+    keep = [similar(sets[a], sets[b], heavy) for a, b in pairs]
+    for name in list(sets)[:-KEPT_SETS]:
+        del sets[name]
+    return keep
 
 
 def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
@@ -153,37 +209,44 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
 
     def packed_lists(sets, posts) -> pd.DataFrame:
         """Rows of post() for some sets (s1, n, min-hashes) and their postings."""
-        s1, n, near, near_2 = (np.array(x, np.int64) for x in zip(*sets))
+        s1, n, near, near_2 = map(np.concatenate, zip(*sets))
         shingle, owner, pos, is_long = map(np.concatenate, zip(*posts))
         # a short list meets in the bucket of its shingle; rows of long lists pass through in any bucket
-        bucket = np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)
-        order = np.lexsort((shingle, is_long, bucket))
+        bucket = (np.where(is_long, s1[owner].view(np.uint64), shingle.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(shingle)
+        order = order[np.argsort((2 * bucket + is_long)[order].astype(np.min_scalar_type(2 * buckets)), kind="stable")]
         shingle, owner, pos, is_long, bucket = (x[order] for x in (shingle, owner, pos, is_long, bucket))
         edges = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (is_long[1:] != is_long[:-1]), True])
-        rows = []
+        rows, place = [], np.empty(len(s1), np.int64)
         for a, b in zip(edges, edges[1:]):
-            own, place = np.unique(owner[a:b], return_inverse=True)
-            rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place, pos[a:b], s1[own], n[own], near[own], near_2[own])))
+            met = np.zeros(len(s1), bool)
+            met[owner[a:b]] = True
+            own = np.flatnonzero(met)
+            place[own] = np.arange(len(own))
+            rows.append((int(bucket[a]), bool(is_long[a]), b - a, len(own), pack_numbers(np.diff(shingle[a:b], prepend=0), place[owner[a:b]], pos[a:b], s1[own], n[own], near[own], near_2[own])))
         return pd.DataFrame(rows, columns=["bucket", "long", "n_posts", "n_sets", "packed"])
 
     def post(parts):
         """Rows (bucket, long, n_posts, n_sets, packed) for the prefixes of the distinct sets of a batch."""
         heavy, rank = held.value
+        sieve = sieve_of(heavy)
         for p in parts:
-            done, sets, posts, held_posts = set(), [], [], 0
-            for _, raws in chunks(list(p["text"])):
-                for s in shingle_sets(raws, WORDS):
-                    if len(s) and (name := signature(s)) not in done:
-                        done.add(name)
-                        n = len(s)
-                        row, short = ordered(s, heavy, rank)
-                        at = np.arange(n - (3 * n + 3) // 4 + 1)
-                        posts.append((row[: len(at)].copy(), np.full(len(at), len(sets)), at, at >= short))
-                        sets.append((name[0], n, *least_hashes(s)))
-                        held_posts += len(at)
-                        if held_posts >= POSTS:
-                            yield packed_lists(sets, posts)
-                            sets, posts, held_posts = [], [], 0
+            done, sets, posts, held_sets, held_posts = set(), [], [], 0, 0
+            for _, raws in chunks(list(p["text"]), POSTED_BYTES):
+                flat, sizes = shingle_lists(raws, WORDS)
+                sizes = sizes[sizes > 0]
+                s1, s2 = signatures(flat, sizes)
+                new = np.array([not (name in done or done.add(name)) for name in zip(s1.tolist(), s2.tolist())], bool)
+                if not new.any():
+                    continue
+                flat, sizes, s1 = flat[np.repeat(new, sizes)], sizes[new], s1[new]
+                shingle, owner, pos, is_long = prefixes(flat, sizes, heavy, rank, sieve)
+                posts.append((shingle, owner + held_sets, pos, is_long))
+                sets.append((s1, sizes, *least_hashes(flat, sizes)))
+                held_sets, held_posts = held_sets + len(sizes), held_posts + len(shingle)
+                if held_posts >= POSTS:
+                    yield packed_lists(sets, posts)
+                    sets, posts, held_sets, held_posts = [], [], 0, 0
             if sets:
                 yield packed_lists(sets, posts)
 
@@ -194,15 +257,20 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
             step, place, pos, s1, n, near, near_2 = unpack_numbers(packed, [n_posts] * 3 + [n_sets] * 4)
             got.append((np.cumsum(step), s1[place], n[place], pos, near[place], near_2[place], np.full(n_posts, is_long)))
         shingle, s1, n, pos, near, near_2, is_long = map(np.concatenate, zip(*got))
+        # most shingles of a bucket are alone and are left out before the rest is put in order
+        order = np.argsort(shingle)
+        equal = shingle[order[1:]] == shingle[order[:-1]]
+        kept = order[is_long[order] | np.r_[False, equal] | np.r_[equal, False]]
+        shingle, s1, n, pos, near, near_2, is_long = (x[kept] for x in (shingle, s1, n, pos, near, near_2, is_long))
         order = np.lexsort((s1, pos, shingle, is_long))
         shingle, s1, n, pos, near, near_2, is_long = (x[order] for x in (shingle, s1, n, pos, near, near_2, is_long))
-        starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (is_long[1:] != is_long[:-1])])
+        starts = np.flatnonzero(np.r_[True, (shingle[1:] != shingle[:-1]) | (is_long[1:] != is_long[:-1])][: len(shingle)])
         lists = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(shingle)]))
         differ = (np.minimum.reduceat(s1, starts) < np.maximum.reduceat(s1, starts))[lists] | is_long
+        differ[1:] &= (shingle[1:] != shingle[:-1]) | (s1[1:] != s1[:-1]) | (is_long[1:] != is_long[:-1])  # a set is in a list once
         first = starts[lists[differ]]
         pivots = {"pivot": s1[first], "pivot_n": n[first], "pivot_pos": pos[first]}
-        out = pd.DataFrame({"shingle": shingle[differ], "s1": s1[differ], "n": n[differ], "pos": pos[differ], "near": near[differ], "near_2": near_2[differ], **pivots, "long": is_long[differ]})
-        return out.drop_duplicates(["shingle", "s1", "long"])
+        return pd.DataFrame({"shingle": shingle[differ], "s1": s1[differ], "n": n[differ], "pos": pos[differ], "near": near[differ], "near_2": near_2[differ], **pivots, "long": is_long[differ]})
 
     posted = docs.select("text").mapInPandas(post, "bucket long, long boolean, n_posts long, n_sets long, packed binary")
     met = materialize(posted.groupBy("bucket").applyInPandas(meet, "shingle long, s1 long, n long, pos long, near long, near_2 long, pivot long, pivot_n long, pivot_pos long, long boolean"))
@@ -227,18 +295,16 @@ def link_documents(docs: DataFrame, long_lists: int = LONG_LISTS) -> DataFrame:
 
     def decide(parts):
         heavy, _ = held.value
-        sets: dict[int, np.ndarray] = {}
-
-        def set_of(name: int, packed: bytes) -> np.ndarray:
-            """The set of a text; the last ones are kept, as pairs of a pivot follow each other."""
-            if name not in sets:
-                if len(sets) >= KEPT_SETS:
-                    sets.pop(next(iter(sets)))
-                sets[name] = next(shingle_sets([utf8(packed)], WORDS))
-            return sets[name]
-
+        sets: dict[int, np.ndarray] = {}  # the last ones are kept, as pairs of a pivot follow each other
         for p in parts:
-            keep = [similar(set_of(a, x), set_of(b, y), heavy) for a, b, x, y in zip(p["a"].tolist(), p["b"].tolist(), p["packed_a"], p["packed_b"])]
+            keep, pairs, raws = [], [], {}
+            for a, b, x, y in zip(p["a"].tolist(), p["b"].tolist(), p["packed_a"], p["packed_b"]):
+                pairs.append((a, b))
+                raws |= {name: utf8(packed) for name, packed in ((a, x), (b, y)) if name not in sets and name not in raws}
+                if sum(map(len, raws.values())) > CHUNK_BYTES or len(pairs) == DECIDED:
+                    keep += decided(pairs, raws, sets, heavy)
+                    pairs, raws = [], {}
+            keep += decided(pairs, raws, sets, heavy)
             yield p.loc[keep, ["a", "b"]]
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -52,44 +52,64 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-#: What is hashed at once; bounds what a long text takes beside its bytes.
+#: Of so many bytes, 8 for each word, words are hashed at once; bounds what a long text takes beside its bytes.
 BLOCK_BYTES = 1 << 19
+#: Longer words are hashed one by one.
+LONG_WORD = 256
 IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
-#: A random number for each byte; white space counts nothing.
-BYTES = np.where(IS_SPACE, np.uint64(0), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+#: What of a number of 8 bytes its first 0 to 8 bytes are.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-def weights(n: int) -> np.ndarray:
-    """A random odd number for each place in a word of up to n bytes."""
-    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+def weights(first: int, n: int) -> np.ndarray:
+    """A random odd number for each of n places in a word from `first` on."""
+    return mix(np.arange(first + 1, first + n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+
+
+WEIGHTS = weights(0, LONG_WORD // 8)
 
 
 def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts one after another, and each text's number of words.
 
-    Words are what white space (U+0020, U+0009 to U+000D) leaves between. A word's hash is the sum of its bytes'
-    numbers, each times the weight of its place.
+    Words are what white space (U+0020, U+0009 to U+000D) leaves between. A word is read as numbers of 8 bytes, of which
+    the last may be shorter. Its hash is made of its length and of the sum of these numbers, mixed with their places.
     """
-    b = np.frombuffer(b" ".join(raws), np.uint8)
-    offsets = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    blob = b" ".join(raws) + b" " * 8
+    b = np.frombuffer(blob, np.uint8)
+    at = np.ndarray((len(b) - 7,), "<u8", blob, strides=(1,))  # the 8 bytes that start at a place
     space = IS_SPACE[b]
-    starts = np.flatnonzero(~space & np.r_[True, space[:-1]][: len(b)])
-    lengths = np.diff(np.searchsorted(starts, offsets))
-    out = np.empty(len(starts), np.uint64)
-    if not len(starts):
-        return out, lengths
-    longest = int((np.flatnonzero(~space & np.r_[space[1:], True]) - starts).max()) + 1
-    weight, ends = weights(longest), np.r_[starts[1:], len(b)]
-    cuts = np.unique(np.r_[np.searchsorted(starts, np.arange(0, len(b), BLOCK_BYTES)), len(starts)])
-    for i, j in zip(cuts, cuts[1:]):
-        first = starts[i:j] - starts[i]
-        place = np.arange(ends[j - 1] - starts[i])
-        place -= np.repeat(first, ends[i:j] - starts[i:j])
-        np.minimum(place, longest - 1, out=place)  # white space behind a word
-        values = weight[place]
-        values *= BYTES[b[starts[i] : ends[j - 1]]]
-        out[i:j] = np.add.reduceat(values, first)
-    return mix(out), lengths
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edges = np.r_[0, edges]
+    starts, ends = edges[::2], edges[1::2]
+    lengths = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raws)])))
+    out, step = np.empty(len(starts), np.uint64), max(1, BLOCK_BYTES // 8)
+    for i in range(0, len(starts), step):
+        start = starts[i : i + step]
+        n = ends[i : i + step] - start
+        total = mix((at[start] & FIRST[np.minimum(n, 8)]) ^ WEIGHTS[0])
+        more = np.flatnonzero((n > 8) & (n <= LONG_WORD))
+        for k in range(1, LONG_WORD // 8):
+            if not len(more):
+                break
+            total[more] += mix((at[start[more] + 8 * k] & FIRST[np.minimum(n[more] - 8 * k, 8)]) ^ WEIGHTS[k])
+            more = more[n[more] > 8 * (k + 1)]
+        for w in np.flatnonzero(n > LONG_WORD).tolist():
+            total[w] = long_word(at, int(start[w]), int(n[w]))
+        out[i : i + step] = mix(total + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return out, lengths
+
+
+def long_word(at: np.ndarray, start: int, n: int) -> np.uint64:
+    """The sum over the numbers of 8 bytes of a word, as word_hashes() makes it."""
+    total = np.zeros(1, np.uint64)
+    for first in range(0, n, BLOCK_BYTES):
+        here = min(n - first, BLOCK_BYTES)
+        numbers = at[start + first : start + first + here : 8].copy()
+        numbers[-1] &= FIRST[here - 8 * (len(numbers) - 1)]
+        total += mix(numbers ^ weights(first // 8, len(numbers))).sum(dtype=np.uint64)
+    return total[0]
 
 
 def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
@@ -103,18 +123,35 @@ def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def shingle_lists(raws: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of shingle_sets() one after another, and the size of each."""
+    h, lengths = word_hashes([r.lower() for r in raws])
+    runs, first = run_hashes(h, k).view(np.int64), np.cumsum(lengths) - lengths
+    n_runs = np.maximum(lengths - k + 1, 0)
+    for a, n in zip(first[n_runs > 1].tolist(), n_runs[n_runs > 1].tolist()):
+        runs[a : a + n].sort()
+    new = np.ones(len(runs), bool)
+    np.not_equal(runs[1:], runs[:-1], out=new[1:])
+    new[first[n_runs > 0]] = True
+    for j in range(1, k):  # runs that reach into another text
+        over = (first + lengths - j)[lengths >= j]
+        new[over[over < len(runs)]] = False
+    upto = np.r_[0, np.cumsum(new)]
+    sizes = upto[np.minimum(first + n_runs, len(runs))] - upto[np.minimum(first, len(runs))]
+    flat, few = runs[new], np.flatnonzero((lengths > 0) & (n_runs == 0))
+    if len(few):
+        alone = np.concatenate([run_hashes(h[first[i] : first[i] + lengths[i]], int(lengths[i])) for i in few]).view(np.int64)
+        flat = np.insert(flat, (np.cumsum(sizes) - sizes)[few], alone)
+        sizes[few] = 1
+    return flat, sizes
+
+
 def shingle_sets(raws: list[bytes], k: int) -> Iterator[np.ndarray]:
     """For each text its distinct k-word shingles (A-Z as a-z), sorted signed hashes; of fewer words the run is one."""
-    h, lengths = word_hashes([r.lower() for r in raws])
-    runs, at = run_hashes(h, k), 0
-    for n in lengths:
-        if n >= k:
-            yield np.unique(runs[at : at + n - k + 1].view(np.int64))
-        elif n:
-            yield run_hashes(h[at : at + n], int(n)).view(np.int64)
-        else:
-            yield np.zeros(0, np.int64)
-        at += n
+    flat, sizes = shingle_lists(raws, k)
+    ends = np.cumsum(sizes)
+    for end, n in zip(ends.tolist(), sizes.tolist()):
+        yield flat[end - n : end]
 
 
 def pack_numbers(*columns: np.ndarray) -> bytes:
